@@ -32,18 +32,25 @@ def latest_n(
 ) -> DataFrame:
     """The ``n`` newest rows, ties broken by ``key``.
 
-    ``day_col`` names a partition column that rises with ``time_col``. Rows are
-    then counted per day, which reads no data column, and only the newest days
-    that together hold ``n`` rows are scanned.
+    The oldest time that can still make the cut is found first, from as little
+    data as possible, and then filters the scan: the time column alone is read,
+    or, where ``day_col`` names a partition column that rises with it, nothing
+    but the number of rows per day. Either way the remaining columns are read
+    for the newest rows only.
     """
-    if day_col is not None:
-        newest = Window.orderBy(F.desc(day_col)).rowsBetween(Window.unboundedPreceding, -1)
+    if day_col is None:
+        newest = df.select(time_col).orderBy(F.desc_nulls_last(time_col)).limit(n)
+        bound, column = newest.agg(F.min(time_col)).first()[0], time_col
+    else:
+        newer = Window.orderBy(F.desc(day_col)).rowsBetween(Window.unboundedPreceding, -1)
         days = df.where(F.col(day_col).isNotNull()).groupBy(day_col).count()
-        needed = days.withColumn("newer", F.coalesce(F.sum("count").over(newest), F.lit(0)))
-        first_day = needed.where(F.col("newer") < n).agg(F.min(day_col)).first()[0]
-        if first_day is not None:
-            df = df.where(F.col(day_col) >= F.lit(first_day))
-    return df.orderBy(F.desc(time_col), key).limit(n)
+        days = days.withColumn("newer", F.coalesce(F.sum("count").over(newer), F.lit(0)))
+        bound, column = days.where(F.col("newer") < n).agg(F.min(day_col)).first()[0], day_col
+    if bound is not None:
+        bound = F.lit(bound).cast(df.schema[column].dataType)
+        # Rows without a time rank last, so they stay candidates.
+        df = df.where((F.col(column) >= bound) | F.col(time_col).isNull())
+    return df.orderBy(F.desc_nulls_last(time_col), key).limit(n)
 
 
 def _place(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:

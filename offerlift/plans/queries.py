@@ -547,12 +547,9 @@ def feature_pipeline(spark, sf_dir):
 
 
 def _model_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every interaction with its features and label, read once per query.
-
-    Fitting passes over the rows many times, so they are written out first.
-    """
+    """Every interaction with its features and label."""
     rows = interactions(spark, sf_dir, [ID, *FEATURES, "conversion"])
-    return materialize(projection.as_label(rows))
+    return training.training_rows(projection.as_label(rows), ID)
 
 
 def _split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

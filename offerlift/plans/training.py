@@ -16,6 +16,7 @@ from pyspark.storagelevel import StorageLevel
 from offerlift.operators.features import feature_stages
 from offerlift.operators.projection import column_roles, labelled
 from offerlift.operators.sampling import fold_assign
+from offerlift.sources.workspace import materialize
 
 # The columns the serving model reads, and its size.
 SERVING_FEATURES = ["recency", "history", "used_discount", "used_bogo", "is_referral", "score"]
@@ -25,6 +26,16 @@ FOREST_GRID = {"numTrees": [10, 20, 30], "maxDepth": [5, 10]}
 BOOSTED_GRID = {"maxIter": [3, 6], "maxDepth": [2, 10]}
 
 
+def training_rows(df: DataFrame, key: str) -> DataFrame:
+    """``df`` spread by key and written once.
+
+    Fitting passes over its rows dozens of times, so their partitions should be
+    even and should not be computed again from the source each time.
+    """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return materialize(df.repartition(partitions, key))
+
+
 def random_forest(**params) -> RandomForestClassifier:
     return RandomForestClassifier(labelCol="label", **{"seed": 1, **params})
 
