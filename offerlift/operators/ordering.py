@@ -34,9 +34,9 @@ def latest_n(
 
     The oldest time that can still make the cut is found first, from as little
     data as possible, and then filters the scan: the time column alone is read,
-    or, where ``day_col`` names a partition column that rises with it, nothing
-    but the number of rows per day. Either way the remaining columns are read
-    for the newest rows only.
+    or, where ``day_col`` names a partition column that rises with it and is null
+    only where it is, nothing but the number of rows per day. Either way the
+    remaining columns are read for the newest rows only.
     """
     if day_col is None:
         newest = df.select(time_col).orderBy(F.desc_nulls_last(time_col)).limit(n)
@@ -49,7 +49,7 @@ def latest_n(
     if bound is not None:
         bound = F.lit(bound).cast(df.schema[column].dataType)
         # Rows without a time rank last, so they stay candidates.
-        df = df.where((F.col(column) >= bound) | F.col(time_col).isNull())
+        df = df.where((F.col(column) >= bound) | F.col(column).isNull())
     return df.orderBy(F.desc_nulls_last(time_col), key).limit(n)
 
 
