@@ -151,9 +151,10 @@ def interactions(
         "is_referral": (F.col("o_custkey") % 2).cast("int"),
         "offer": F.col("o_orderpriority"),
         "score": F.round(hash_uniform("s", "o_orderkey"), 6),
+        # Constant branches let Catalyst reduce "label is known" to the order status.
         "conversion": F.when(
             F.col("o_orderstatus") != "P",
-            (hash_uniform("y", "o_orderkey") < response_rate).cast("int"),
+            F.when(hash_uniform("y", "o_orderkey") < response_rate, 1).otherwise(0),
         ),
         "batch_id": F.md5(F.date_format("o_orderdate", "yyyyMM")),
         "batch_tms": F.col("o_orderdate").cast("timestamp_ntz"),

@@ -147,18 +147,15 @@ def count_blocks(
 
     A keyed state function would walk all responses of a model in one task.
     Instead each micro-batch is numbered in parallel, starting where the
-    batches before it ended; what is kept between batches is one count per
-    model, and a block that spans batches is stored in parts.
+    batches before it ended; what is kept between batches is one running count
+    per model, and a block that spans batches is stored in parts.
     """
     spark = labelled.sparkSession
 
     def counted_before(epoch: int) -> DataFrame:
         if epoch == 0:
-            return spark.createDataFrame([], f"__model {model_type}, __before bigint")
-        counts = spark.read.parquet(f"{path}/counts").where(F.col("epoch") < epoch)
-        return counts.groupBy(F.col(model_col).alias("__model")).agg(
-            F.sum("responses").alias("__before")
-        )
+            return spark.createDataFrame([], f"`{model_col}` {model_type}, responses bigint")
+        return spark.read.parquet(f"{path}/counts/epoch={epoch - 1}")
 
     model_type = labelled.schema[model_col].dataType.simpleString()
 
@@ -166,14 +163,19 @@ def count_blocks(
         rows = batch.select(model_col, time_col, key, "final_label", "response_label")
         indexed = with_row_index(rows, [time_col, key], [model_col])
         before = counted_before(epoch)
-        position = F.coalesce("__before", F.lit(0)) + F.col("row_index") - 1
-        placed = indexed.join(before, F.col(model_col) == F.col("__model"), "left").withColumn(
+        position = F.coalesce("responses", F.lit(0)) + F.col("row_index") - 1
+        placed = indexed.join(before, model_col, "left").withColumn(
             "block", F.floor(position / n).cast("bigint")
         )
         parts = block_parts(placed, time_col, [model_col], "final_label", "response_label")
         _write_batch(parts, f"{path}/parts", epoch)
         written = spark.read.parquet(f"{path}/parts/epoch={epoch}")
-        counts = written.groupBy(model_col).agg(F.sum("responses").alias("responses"))
+        counts = (
+            written.select(model_col, "responses")
+            .unionByName(before)
+            .groupBy(model_col)
+            .agg(F.sum("responses").alias("responses"))
+        )
         _write_batch(counts, f"{path}/counts", epoch)
 
     _each_batch(labelled, state, handle)
