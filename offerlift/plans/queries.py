@@ -570,21 +570,37 @@ def train_gbt(spark, sf_dir):
     return training.holdout_predictions(model, test, ID)
 
 
+@query
+def train_gbt_oversampled(spark, sf_dir):
+    train, test = _split(spark, sf_dir)
+    gbt = training.boosted_trees(maxIter=3, maxDepth=2)
+    model = training.fit_oversampled(train, gbt, ID, ["recency", "history"])
+    return training.holdout_predictions(model, test, ID)
+
+
 @query
 def train_rf_serving(spark, sf_dir):
     train, test = _split(spark, sf_dir)
     return training.holdout_predictions(training.fit_serving_model(train), test, ID)
 
 
-def grid_search(spark, sf_dir, folds: int):
-    train, test = _split(spark, sf_dir)
+def grid_search(spark: SparkSession, sf_dir: str, folds: int) -> DataFrame:
+    train, _ = _split(spark, sf_dir)
     forest = training.random_forest()
-    return *training.cross_validate(train, forest, training.FOREST_GRID, ID, folds), test
+    _, found = training.cross_validate(train, forest, training.FOREST_GRID, ID, folds)
+    return training.grid_results(spark, found)
 
 
 @query
 def cv_grid(spark, sf_dir):
-    _, found, _ = grid_search(spark, sf_dir, folds=2)
+    return grid_search(spark, sf_dir, folds=2)
+
+
+@query
+def cv_grid_boosted(spark, sf_dir):
+    train, _ = _split(spark, sf_dir)
+    trees = training.boosted_trees()
+    _, found = training.cross_validate(train, trees, training.BOOSTED_GRID, ID, folds=2)
     return training.grid_results(spark, found)
 
 

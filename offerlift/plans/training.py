@@ -16,6 +16,7 @@ from pyspark.storagelevel import StorageLevel
 from offerlift.operators.features import feature_stages
 from offerlift.operators.projection import column_roles, labelled
 from offerlift.operators.sampling import fold_assign
+from offerlift.operators.smote import smote
 from offerlift.sources.workspace import materialize
 
 # The columns the serving model reads, and its size.
@@ -60,6 +61,39 @@ def fit_serving_model(df: DataFrame) -> PipelineModel:
     return Pipeline(stages=stages).fit(labelled(df))
 
 
+def fit_oversampled(
+    df: DataFrame,
+    classifier,
+    key: str,
+    near: Sequence[str],
+    k: int = 3,
+    percentage_over: int = 400,
+    percentage_under: int = 100,
+) -> PipelineModel:
+    """A classifier on scaled features of a rebalanced training set.
+
+    New minority rows lie between the feature vectors of rows that are close in
+    the ``near`` columns and equal in every category. Pass training rows only:
+    synthetic rows must not reach the rows a model is judged on.
+    """
+    rows = labelled(df)
+    categorical, numeric = column_roles(rows.drop(key), "label")
+    features = Pipeline(stages=feature_stages(categorical, numeric, scale=True)).fit(rows)
+    balanced = smote(
+        features.transform(rows),
+        key,
+        near,
+        ["scaledFeatures"],
+        categorical,
+        k,
+        percentage_over=percentage_over,
+        percentage_under=percentage_under,
+    )
+    classifier.setFeaturesCol("scaledFeatures")
+    fitted = classifier.fit(training_rows(balanced.select(key, "scaledFeatures", "label"), key))
+    return PipelineModel(stages=[*features.stages, fitted])
+
+
 def param_grid(classifier, values: Mapping[str, Sequence]) -> list:
     """Every combination, bound to this classifier so that it really varies."""
     builder = ParamGridBuilder()

@@ -46,6 +46,22 @@ def test_grid_points_differ_and_the_best_is_kept(spark, split):
     assert training.holdout_predictions(model, test, ID).count() > 0
 
 
+def test_oversampled_model_scores_plain_rows(split):
+    train, test = split
+    model = training.fit_oversampled(
+        train, training.boosted_trees(maxIter=3, maxDepth=2), ID, ["recency", "history"]
+    )
+    scored = training.holdout_predictions(model, test, ID).cache()
+    assert scored.count() == test.where("label is not null").count()
+    assert auc_score(scored).first()["auc_score"] > 0.65
+    plain = training.fit_pipeline(train, training.boosted_trees(maxIter=3, maxDepth=2), ID)
+    found = [
+        training.holdout_predictions(m, test, ID).where("prediction = 1").count()
+        for m in (plain, model)
+    ]
+    assert found[1] > found[0]  # a rebalanced model dares to predict the minority
+
+
 def test_boosted_grid_is_bound(split):
     gbt = training.boosted_trees()
     grid = training.param_grid(gbt, training.BOOSTED_GRID)
