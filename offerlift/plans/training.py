@@ -108,7 +108,7 @@ def cross_validate(
     grid: Mapping[str, Sequence],
     key: str,
     folds: int = 5,
-    parallelism: int = 4,
+    parallelism: int = 8,
 ) -> tuple[PipelineModel, CrossValidatorModel]:
     """The best model of the grid by mean AUC over the folds, and the search.
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,8 +42,11 @@ def list_artifacts(spark: SparkSession, root: str) -> DataFrame:
         .load(root)
         .select("path")
     )
-    below = F.regexp_replace("path", "^[a-z0-9]+:/+", "/")
-    inside = F.substring_index(below, f"{root.rstrip('/').split('://')[-1]}/", -1)
+    # Paths come back with a scheme ("file:/…") that ``root`` may lack or spell otherwise.
+    scheme = "^[a-zA-Z0-9]+:/+"
+    prefix = re.sub(scheme, "/", root).rstrip("/") + "/"
+    below = F.regexp_replace("path", scheme, "/")
+    inside = F.substring(below, F.lit(len(prefix) + 1), F.length(below))
     return files.select(path_part(inside, 1).alias("artifact")).distinct()
 
 

@@ -103,6 +103,8 @@ def test_artifacts_are_listed_once_and_the_newest_is_found(spark):
         spark.range(2).repartition(2).write.parquet(f"{root}/{name}/data")
     listed = files.list_artifacts(spark, root)
     assert listed.count() == 3
+    other = files.list_artifacts(spark, f"file://{root.removeprefix('file:')}/")
+    assert other.exceptAll(listed).count() == 0 and other.count() == 3
     newest = files.latest_artifact(listed, "pipeline").collect()
     assert [r["artifact"] for r in newest] == ["pipeline_01022024000000"]
 
