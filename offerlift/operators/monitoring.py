@@ -90,24 +90,27 @@ def full_blocks(parts: DataFrame, n: int, group_by: Sequence[str] = ()) -> DataF
     )
 
 
-def accuracy_drift(blocks: DataFrame) -> DataFrame:
+def accuracy_drift(blocks: DataFrame, group_by: Sequence[str] = ()) -> DataFrame:
     """Change of accuracy against the block before.
 
     Each block is sent to its own number and to the next one, which pairs
     neighbours by hash instead of sorting all blocks in one task.
     """
+    nothing = F.lit(None).cast("double")
+    accuracy = F.col("accuracy")
     own = F.struct(
-        "block", F.col("accuracy").alias("accuracy"), F.lit(None).cast("double").alias("previous")
+        *group_by, "block", accuracy.alias("accuracy"), nothing.alias("previous_accuracy")
     )
     following = F.struct(
+        *group_by,
         (F.col("block") + 1).alias("block"),
-        F.lit(None).cast("double").alias("accuracy"),
-        F.col("accuracy").alias("previous"),
+        nothing.alias("accuracy"),
+        accuracy.alias("previous_accuracy"),
     )
     return (
         blocks.select(F.inline(F.array(own, following)))
-        .groupBy("block")
-        .agg(F.max("accuracy").alias("accuracy"), F.max("previous").alias("previous_accuracy"))
+        .groupBy(*group_by, "block")
+        .agg(*[F.max(c).alias(c) for c in ("accuracy", "previous_accuracy")])
         .where(F.col("accuracy").isNotNull())
         .withColumn("drift", F.round(F.col("accuracy") - F.col("previous_accuracy"), 6))
     )

@@ -24,7 +24,8 @@ def random_split(df: DataFrame, share: float = 0.8, seed: int = 1):
 
 def sample_n(df: DataFrame, n: int, key: str, seed: str | int = 0) -> DataFrame:
     """Exactly ``n`` rows (all of them when there are fewer), uniformly drawn."""
-    return df.orderBy(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"))), key).limit(n)
+    draw = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))
+    return df.orderBy(draw, key).limit(n)
 
 
 def undersample(

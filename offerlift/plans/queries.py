@@ -14,8 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from offerlift.functions import paths, timestamps
-from offerlift.functions.hashing import hash_uniform
+from offerlift.functions import hashing, paths, timestamps
 from offerlift.operators import evaluation, features, monitoring, neighbours, ordering
 from offerlift.operators import profit, projection, sampling, smote as oversampling
 from offerlift.plans import scoring, training
@@ -89,7 +88,8 @@ def peek(spark, sf_dir):
 
 @query
 def column_roles(spark, sf_dir):
-    return projection.role_rows(projection.select_features(interactions(spark, sf_dir)), "conversion")
+    rows = projection.select_features(interactions(spark, sf_dir))
+    return projection.role_rows(rows, "conversion")
 
 
 def _stored_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -212,7 +212,7 @@ def cast_int(spark, sf_dir):
         "o_orderkey",
         F.col("o_totalprice").cast("string").alias("history_text"),
         (F.col("o_totalprice") / 1000).alias("history"),
-        (hash_uniform("s", "o_orderkey") * 10).alias("score"),
+        (hashing.hash_uniform("s", "o_orderkey") * 10).alias("score"),
         F.col("o_orderpriority").alias("not_a_number"),
     )
     return projection.cast_int(orders, ["history_text", "history", "score", "not_a_number"])
@@ -220,7 +220,8 @@ def cast_int(spark, sf_dir):
 
 @query
 def vectorize(spark, sf_dir):
-    df = projection.labelled(interactions(spark, sf_dir, [ID, *NUMERIC, "conversion"]), "conversion")
+    rows = interactions(spark, sf_dir, [ID, *NUMERIC, "conversion"])
+    df = projection.labelled(rows, "conversion")
     values = features.vectorize(df, "conversion", ID).withColumn("v", vector_to_array("features"))
     return values.select(ID, *[F.col("v")[i].alias(f"f{i}") for i in range(len(NUMERIC))], "label")
 
@@ -490,15 +491,12 @@ def uid_strip(spark, sf_dir):
 
 
 @query
-def hash_uniform_numbers(spark, sf_dir):
+def hash_uniform(spark, sf_dir):
     orders = retail.read(spark, sf_dir, "orders")
-    u = hash_uniform("demo", "o_orderkey", "o_custkey")
+    u = hashing.hash_uniform("demo", "o_orderkey", "o_custkey")
     return orders.select("o_orderkey", F.round(u, 9).alias("u"))
 
 
-QUERIES["hash_uniform"] = QUERIES.pop("hash_uniform_numbers")
-
-
 @query
 def threshold_label(spark, sf_dir):
     rows = retail.predictions(spark, sf_dir).drop("response_label")
@@ -667,7 +665,8 @@ def retrain(spark, sf_dir):
 
 @query
 def metric_series(spark, sf_dir):
-    return monitoring.metric_series(metrics_flatten(spark, sf_dir), "metrics_conversion_probability")
+    metrics = metrics_flatten(spark, sf_dir)
+    return monitoring.metric_series(metrics, "metrics_conversion_probability")
 
 
 @query

@@ -13,6 +13,7 @@ from offerlift.operators.projection import as_label, labelled, parse_requests, s
 from offerlift.plans.training import SERVING_FEATURES, positive_probability
 from offerlift.sources.registry import load_pipeline, save_ml
 from offerlift.sources.retail import BLOCK, FEATURES, TARGET
+from offerlift.sources.workspace import materialize
 
 PREDICTION_COLUMNS = [
     *FEATURES,
@@ -70,6 +71,6 @@ def retrain(
     Of the ``n`` newest rows only those with a known outcome are fitted.
     """
     newest = latest_n(df, n, time_col, key, day_col)
-    rows = labelled(as_label(select_features(newest)))
+    rows = materialize(labelled(as_label(select_features(newest))))  # fitting rereads them
     model = load_pipeline(spark, registry).fit(rows)
     return save_ml(spark, model, "spark_model", root, registry, run_id, now)

@@ -10,8 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from offerlift.functions.paths import artifact_path
-from offerlift.functions.timestamps import time_suffix
 from offerlift.sources.tables import append, ensure_table
 
 REGISTRY = T.StructType(
@@ -87,8 +85,7 @@ def save_ml(
 ) -> str:
     """Save a pipeline or model under its time suffix and register that exact path."""
     now = now or dt.datetime.now()
-    suffix = spark.range(1).select(time_suffix(F.lit(now).cast("timestamp_ntz")).alias("s"))
-    location = suffix.select(artifact_path(f"{root}/{kind}", F.col("s")).alias("p")).first()["p"]
+    location = f"{root.rstrip('/')}/{kind}/{now:%d%m%Y%H%M%S}"
     stage.write().overwrite().save(location)
     register(registry_entry(spark, kind, stage.uid, now, location, run_id), table)
     return location

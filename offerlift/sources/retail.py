@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from offerlift.functions.hashing import hash_uniform
-from offerlift.functions.timestamps import epoch_micros, epoch_ms
+from offerlift.functions.timestamps import epoch_micros, epoch_ms, time_suffix
 
 FEATURES = [
     "recency",
@@ -240,6 +240,10 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _truncated(unit: str) -> Column:
+    return F.date_trunc(unit, F.col("ts").cast("timestamp")).cast("timestamp_ntz")
+
+
 def registry_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A model registry with one training run per event.
 
@@ -251,6 +255,7 @@ def registry_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("event_type") == "signup", "spark_pipeline")
         .otherwise("sklearn_model")
     )
+    event = F.col("event_id").cast("string")
     name = F.when(kind == "spark_pipeline", "Pipeline").otherwise("PipelineModel")
     iso = F.when(
         F.col("event_id") % 3 == 0, F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
@@ -258,10 +263,12 @@ def registry_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "events").select(
         kind.alias("object_kind"),
         name.alias("name"),
-        F.concat(F.lit("uid="), name, F.lit("_"), F.substring(F.md5(F.col("event_id").cast("string")), 1, 12)).alias("object_id"),
-        F.date_trunc("hour", F.col("ts").cast("timestamp")).cast("timestamp_ntz").alias("training_time"),
+        F.concat(F.lit("uid="), name, F.lit("_"), F.substring(F.md5(event), 1, 12)).alias(
+            "object_id"
+        ),
+        _truncated("hour").alias("training_time"),
         F.concat(F.lit("store/campaign/"), kind, F.lit("/"), iso).alias("location"),
-        F.concat(F.lit("run-"), F.col("event_id").cast("string")).alias("run_id"),
+        F.concat(F.lit("run-"), event).alias("run_id"),
     )
 
 
@@ -272,7 +279,7 @@ def lineage_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(F.lit("default.customer_interactions"), F.lit("default.labels")),
     ).otherwise(F.array(F.lit("default.customer_interactions")))
     return read(spark, sf_dir, "events").select(
-        F.concat(F.lit("classifier "), F.date_format("ts", "ddMMyyyyHHmmss")).alias("model_name"),
+        F.concat(F.lit("classifier "), time_suffix(F.col("ts"))).alias("model_name"),
         tables.alias("tables"),
         F.create_map(F.lit("trigger"), F.col("event_type")).alias("metadata"),
     )
@@ -282,5 +289,5 @@ def artifact_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Artifact folder names, the creation time in their last 14 characters."""
     stem = F.when(F.col("event_type") == "signup", "pipeline").otherwise("bestModel")
     return read(spark, sf_dir, "events").select(
-        F.concat(stem, F.lit("_"), F.date_format(F.date_trunc("day", F.col("ts").cast("timestamp")), "ddMMyyyyHHmmss")).alias("artifact")
+        F.concat(stem, F.lit("_"), time_suffix(_truncated("day"))).alias("artifact")
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -83,12 +83,11 @@ def append(df: DataFrame, table: str) -> None:
     """Append by column name; columns the frame lacks become null."""
     target = df.sparkSession.table(table).schema
     present = {c.lower() for c in df.columns}
-    aligned = df.select(
-        *[
-            (F.col(f.name) if f.name.lower() in present else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in target.fields
-        ]
-    )
+
+    def value(name: str) -> Column:
+        return F.col(name) if name.lower() in present else F.lit(None)
+
+    aligned = df.select(*[value(f.name).cast(f.dataType).alias(f.name) for f in target.fields])
     partitions = [c.name for c in df.sparkSession.catalog.listColumns(table) if c.isPartition]
     writer = aligned.write.mode("append").format("parquet")
     if partitions:

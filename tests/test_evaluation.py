@@ -58,7 +58,8 @@ def test_a_class_that_is_never_predicted(spark):
     rows = {r["class"]: r for r in evaluation.class_report(df).collect()}
     assert (rows[1]["precision"], rows[1]["recall"], rows[1]["support"]) == (0.0, 0.0, 1)
     assert rows[0]["recall"] == 1.0
-    matrix = {r["label"]: (r["pred_neg"], r["pred_pos"]) for r in evaluation.confusion_matrix(df).collect()}
+    cells = evaluation.confusion_matrix(df).collect()
+    matrix = {r["label"]: (r["pred_neg"], r["pred_pos"]) for r in cells}
     assert matrix == {0: (2, 0), 1: (1, 0)}
 
 
@@ -78,7 +79,8 @@ def test_profit_curve_shape(spark, sf_dir):
 
 
 def test_best_threshold_of_the_published_table(spark):
-    curve = spark.createDataFrame(PUBLISHED, "blast_profit double, targeted_profit double, threshold double")
+    schema = "blast_profit double, targeted_profit double, threshold double"
+    curve = spark.createDataFrame(PUBLISHED, schema)
     best = best_threshold(curve).first()
     assert (best["threshold"], best["targeted_profit"], best["uplift"]) == (0.2, 493600.0, 62900.0)
 
@@ -111,7 +113,8 @@ def test_sample_takes_what_there_is(spark):
 
 def test_undersampling_keeps_the_minority(spark):
     df = spark.range(4000).withColumn("label", (F.col("id") % 4 == 0).cast("int"))
-    counts = {r["label"]: r["count"] for r in sampling.undersample(df, 30, "id").groupBy("label").count().collect()}
+    kept = sampling.undersample(df, 30, "id").groupBy("label").count().collect()
+    counts = {r["label"]: r["count"] for r in kept}
     assert counts[1] == 1000 and 780 < counts[0] < 1020
     with pytest.raises(ValueError):
         sampling.undersample(df, 5, "id")

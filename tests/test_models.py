@@ -4,7 +4,6 @@ import datetime as dt
 import uuid
 
 import pytest
-from pyspark.sql import functions as F
 
 from offerlift.operators.evaluation import auc_score
 from offerlift.operators.features import encoder, indexer
@@ -97,7 +96,8 @@ def test_requests_get_a_probability_each(spark, split, sf_dir):
     assert model.stages[-1].getNumTrees == 100 and model.stages[-1].getMaxDepth() == 2
     scored = scoring.score_requests(requests(spark, sf_dir), model)
     assert scored.columns == ["request_id", "prediction", "conversion_probability"]
-    assert scored.where("conversion_probability between 0 and 1").count() == requests(spark, sf_dir).count()
+    asked = requests(spark, sf_dir).count()
+    assert scored.where("conversion_probability between 0 and 1").count() == asked
 
 
 def test_a_category_unseen_in_training_is_scored(spark):

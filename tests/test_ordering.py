@@ -86,7 +86,11 @@ def test_latest_n_with_missing_times(spark, day_col):
 
 
 def responses(spark, n):
-    rows = [(str(i).zfill(4), at(1) + dt.timedelta(seconds=i // 7), i % 2, (i // 3) % 2) for i in range(n)]
+    start = at(1)
+    rows = [
+        (str(i).zfill(4), start + dt.timedelta(seconds=i // 7), i % 2, (i // 3) % 2)
+        for i in range(n)
+    ]
     schema = "uuid string, predicted_at timestamp_ntz, final_label int, response_label int"
     return spark.createDataFrame(rows, schema).repartition(4), rows
 
@@ -106,3 +110,11 @@ def test_drift_is_the_difference_to_the_block_before(spark):
     df = spark.createDataFrame([(0, 0.5), (1, 0.75), (2, 0.25)], "block bigint, accuracy double")
     got = {r["block"]: (r["previous_accuracy"], r["drift"]) for r in accuracy_drift(df).collect()}
     assert got == {0: (None, None), 1: (0.5, 0.25), 2: (0.75, -0.5)}
+
+
+def test_drift_stays_inside_its_group(spark):
+    rows = [("a", 0, 0.5), ("a", 1, 1.0), ("b", 1, 0.25), ("b", 2, 0.5)]
+    df = spark.createDataFrame(rows, "model_id string, block bigint, accuracy double")
+    drifts = accuracy_drift(df, ["model_id"]).collect()
+    got = {(r["model_id"], r["block"]): r["drift"] for r in drifts}
+    assert got == {("a", 0): None, ("a", 1): 0.5, ("b", 1): None, ("b", 2): 0.25}

@@ -107,11 +107,14 @@ def test_a_hot_key_is_split_by_the_join(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+FORBIDDEN = ("localCheckpoint", ".collect()", "toPandas", ".rdd", "crossJoin", "@F.udf")
+
+
 def test_no_local_checkpoints_collects_or_python_udfs_in_the_package():
     root = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "offerlift")
     for folder, _, names in os.walk(root):
         for name in names:
             if name.endswith(".py"):
                 text = open(os.path.join(folder, name)).read()
-                for word in ("localCheckpoint", ".collect()", "toPandas", ".rdd", "crossJoin", "@F.udf"):
+                for word in FORBIDDEN:
                     assert word not in text, (name, word)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pytest
 from pyspark.sql import functions as F
 
 from offerlift.operators.monitoring import attach_labels, block_accuracy
@@ -87,10 +86,11 @@ def test_windows_wait_for_the_watermark_and_drop_late_rows(spark):
     def arrive(*times):
         data = [(t, 1, i % 2) for i, t in enumerate(times)]
         df = spark.createDataFrame(data, "t string, final_label int, response_label int")
-        df.select(F.col("t").cast("timestamp_ntz").alias("predicted_at"), "final_label", "response_label").coalesce(1).write.mode("append").parquet(path)
-        jobs.windowed_accuracy(
-            spark.readStream.schema(schema).parquet(path), f"{out}/rows", f"{out}/state", "1 hour", "10 minutes"
-        )
+        moment = F.col("t").cast("timestamp_ntz").alias("predicted_at")
+        rows = df.select(moment, "final_label", "response_label")
+        rows.coalesce(1).write.mode("append").parquet(path)
+        source = spark.readStream.schema(schema).parquet(path)
+        jobs.windowed_accuracy(source, f"{out}/rows", f"{out}/state", "1 hour", "10 minutes")
 
     arrive("2024-01-01 00:10:00", "2024-01-01 00:20:00", "2024-01-01 02:00:00")
     arrive("2024-01-01 00:30:00", "2024-01-01 04:00:00")  # the first of these is too late

@@ -79,7 +79,8 @@ def test_registry_ignores_a_run_it_holds(spark, table):
     registry.register(first, name)
     registry.register(first.unionByName(first), name)
     later = NOW + dt.timedelta(days=40)
-    registry.register(registry.registry_entry(spark, "spark_model", "A_c", later, "store/2", "run-2"), name)
+    second = registry.registry_entry(spark, "spark_model", "A_c", later, "store/2", "run-2")
+    registry.register(second, name)
     assert spark.table(name).count() == 2
     assert registry.latest_location(spark.table(name), "spark_model") == "store/2"
     with pytest.raises(LookupError):
@@ -141,9 +142,11 @@ def test_cast_int_of_bad_input(spark):
 
 def test_requests_with_missing_and_malformed_bodies(spark):
     df = spark.createDataFrame(
-        [("1", '{"RECENCY": 11, "SCORE": 0.766}'), ("2", "no json")], "request_id string, body string"
+        [("1", '{"RECENCY": 11, "SCORE": 0.766}'), ("2", "no json")],
+        "request_id string, body string",
     )
-    rows = {r["request_id"]: r for r in projection.parse_requests(df, ["recency", "score"]).collect()}
+    parsed = projection.parse_requests(df, ["recency", "score"]).collect()
+    rows = {r["request_id"]: r for r in parsed}
     assert (rows["1"]["recency"], rows["1"]["score"]) == (11.0, 0.766)
     assert rows["2"]["recency"] is None
 
