@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from offerlift.operators import projection
 from offerlift.operators.monitoring import attach_labels, block_accuracy
+from offerlift.plans import training
 from offerlift.sources import retail
 from offerlift.sources.workspace import new_path
 from offerlift.streaming import jobs
@@ -111,3 +113,33 @@ def test_ingest_marks_each_micro_batch(spark, sf_dir):
     assert {r[0] for r in stored.select("batch_id").distinct().collect()} == {"b-0", "b-1"}
     assert stored.where("conversion is not null").count() == 0
     assert stored.count() == retail.read(spark, sf_dir, "events").count()
+
+
+def test_scores_equal_the_batch_and_the_model_is_asked_per_batch(spark, sf_dir):
+    columns = ["interaction_id", *retail.FEATURES, "conversion"]
+    rows = projection.as_label(retail.interactions(spark, sf_dir, columns))
+    model = training.fit_pipeline(
+        training.training_rows(rows, "interaction_id"),
+        training.random_forest(numTrees=3),
+        "interaction_id",
+    )
+    source, out = new_path(spark, "orders"), new_path(spark, "scores")
+    orders = retail.read(spark, sf_dir, "orders")
+    for part in (orders.where("o_orderkey % 2 = 0"), orders.where("o_orderkey % 2 = 1")):
+        part.coalesce(1).write.mode("append").parquet(source)
+    reader = spark.readStream.schema(retail.SCHEMAS["orders"]).option("maxFilesPerTrigger", 1)
+    arriving = retail.interactions(spark, sf_dir, columns, reader.parquet(source))
+    asked = []
+
+    def latest():
+        asked.append(1)
+        return model
+
+    def select(df):
+        return df.select("interaction_id", "label", "prediction")
+
+    jobs.score(projection.as_label(arriving), f"{out}/rows", f"{out}/state", latest, select)
+    stored = spark.read.parquet(f"{out}/rows").drop("epoch")
+    ours = sorted(map(str, stored.collect()))
+    assert ours == sorted(map(str, select(model.transform(rows)).collect()))
+    assert len(asked) == 2
