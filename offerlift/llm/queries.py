@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerlift.llm import simhash, toxicity
+from offerlift.llm import simhash, suffixes, toxicity
 from offerlift.llm.texts import documents
 
 QUERIES = {}
@@ -35,3 +35,8 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
         "evidence",
     )
+
+
+@query
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.repeated_bytes(documents(spark, sf_dir))
