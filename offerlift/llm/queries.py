@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerlift.llm import simhash, suffixes, toxicity
+from offerlift.llm import pii, simhash, suffixes, toxicity
 from offerlift.llm.texts import documents
 
 QUERIES = {}
@@ -40,3 +40,10 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.repeated_bytes(documents(spark, sf_dir))
+
+
+@query
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text with its pseudonyms, and how many values of each kind it had."""
+    made = pii.pseudonymise(documents(spark, sf_dir), counts="found")
+    return made.select("doc_id", "text", *[F.col(f"found.{k}").alias(f"n_{k}") for k in pii.KINDS])
