@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerlift.llm import pii, simhash, suffixes, toxicity
+from offerlift.llm import packing, pii, simhash, suffixes, tokens, toxicity
 from offerlift.llm.texts import documents
 
 QUERIES = {}
@@ -47,3 +47,19 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text with its pseudonyms, and how many values of each kind it had."""
     made = pii.pseudonymise(documents(spark, sf_dir), counts="found")
     return made.select("doc_id", "text", *[F.col(f"found.{k}").alias(f"n_{k}") for k in pii.KINDS])
+
+
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"))
+
+
+@query
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.count_tokens(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"))
