@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerlift.llm import packing, pii, quality, secrets, simhash, suffixes, tokens, toxicity
+from offerlift.llm import fingerprints, packing, pii, quality, secrets, simhash, suffixes, tokens, toxicity
 from offerlift.llm.texts import documents
 from offerlift.sources.workspace import new_path
 
@@ -145,3 +145,8 @@ SELECT doc_id, n_words::BIGINT n_words, word_chars::BIGINT word_chars, n_symbols
   n_dup_lines::BIGINT n_dup_lines, n_repeat_words::BIGINT n_repeat_words, base_failed,
   NOT base_failed AND NOT rejected kept
 FROM verdicts"""
+
+
+@query
+def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edits(documents(spark, sf_dir))
