@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from offerlift.llm.sketch import mark_possible
 from offerlift.llm.texts import small_batches, text_or_empty
 from offerlift.sources.workspace import materialize
 
@@ -43,7 +44,7 @@ SYMBOL = 16
 CROWD = 256
 _PART = 16
 _POSITIONS = WINDOW - GRAM + 1
-_MOST_BYTES = 4 << 20
+_MOST_BYTES = 1 << 20
 
 
 def suffix_array(symbols: Sequence[int]) -> list[int]:
@@ -357,13 +358,14 @@ def _cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 [f["at"] + s for f in found for s in f["starts"]],
                 [f["at"] + e for f in found for e in f["ends"]],
             )
-            kept, at = [], 0
+            parts, at = [], 0
             for s, e in spans:
-                kept.append(data[at:s])
+                parts.append(data[at:s])
                 at = e
-            rest = b"".join(kept) + data[at:]
+            rest = b"".join(parts) + data[at:]
             digest = hashlib.sha256(rest).hexdigest()
-            rows.append((sha, len(data) - len(rest), len(spans), digest, rest))
+            kept = rest.decode("utf-8", "ignore")
+            rows.append((sha, len(data) - len(rest), len(spans), digest, kept))
         yield pd.DataFrame(rows, columns=["sha", "n_removed", "n_spans", "kept_sha256", "rest"])
 
 
@@ -385,14 +387,16 @@ def _found(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame,
     long_texts = texts.where(F.col("n_bytes") >= WINDOW)
     parsed = long_texts.select("sha", "text").mapInPandas(_parse, places).distinct()
     parsed = materialize(parsed, "anchors")
-    marks = parsed.groupBy("mark").agg(F.count("*").alias("n")).where("n > 1")
+    # Written, so that the join has plain shuffles on both sides and can split a hot mark.
+    marks = materialize(parsed.groupBy("mark").agg(F.count("*").alias("n")).where("n > 1"), "marks")
     shared = parsed.join(marks, "mark").withColumn("crowded", F.col("n") > CROWD)
     shared = shared.groupBy("sha").agg(
         F.collect_list(F.struct("at", "low", "high", "mark", "crowded")).alias("shared")
     )
     # One row of each text, whatever its number of copies.
-    shared = shared.join(known.drop("rows"), "sha")
-    one = long_texts.select("key", "sha", "text").join(shared, "sha")
+    shared = materialize(shared.join(known.drop("rows"), "sha"), "shared")
+    one = mark_possible(long_texts.select("key", "sha", "text"), "sha", shared, "possible")
+    one = one.where("possible").join(shared, "sha")
     one = one.where(F.col("key").eqNullSafe(F.col("first"))).select("sha", "text", "shared")
     chosen = materialize(one.dropDuplicates(["sha"]), "texts")
 
@@ -410,7 +414,7 @@ def _found(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame,
         F.collect_list(F.struct("at", "starts", "ends")).alias("found")
     )
     cut = chosen.select("sha", "text").join(spans, "sha").mapInPandas(
-        _cut, "sha binary, n_removed long, n_spans long, kept_sha256 string, rest binary"
+        _cut, "sha binary, n_removed long, n_spans long, kept_sha256 string, rest string"
     )
     return heads, known.where("rows > 1").select("sha", F.lit(True).alias("copied")), cut
 
@@ -453,10 +457,13 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     facts = copied.join(cut.select("sha", F.col("rest").alias("__rest")), "sha", "full_outer")
     facts = facts.select(
         F.col("sha").alias("__sha"),
-        F.when(F.col("copied"), "").otherwise(F.expr("make_valid_utf8(cast(__rest as string))")).alias("__text"),
+        F.when(F.col("copied"), "").otherwise(F.col("__rest")).alias("__text"),
     )
+    facts = materialize(facts, "cut")
     sha = F.unhex(F.sha2(text_or_empty(text), 256))
-    joined = docs.withColumn("__key", sha).join(facts, F.col("__key") == F.col("__sha"), "left")
-    return joined.select(
-        *[F.coalesce("__text", F.col(c)).alias(c) if c == text else F.col(c) for c in docs.columns]
-    )
+    rows = mark_possible(docs.withColumn("__sha", sha), "__sha", facts, "__possible")
+    changed = F.coalesce("__text", F.col(f"`{text}`")).alias(text)
+    others = {c: F.col(f"`{c}`") for c in docs.columns}
+    joined = rows.where("__possible").join(facts, "__sha", "left")
+    joined = joined.select(*(others | {text: changed}).values())
+    return joined.unionByName(rows.where("not __possible").select(*others.values()))
