@@ -19,9 +19,11 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import compress
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,7 +37,7 @@ MAX_EXAMPLES = 20_000
 MAX_TERMS = 2_000
 #: A term needs so many toxic examples, and so large a chi-square.
 MIN_SUPPORT = 5
-MIN_CHI2 = 35.0
+MIN_CHI2 = 50.0
 #: Votes are counted until so many examples have been met.
 NEIGHBOURS = 12
 #: Added to a neighbour's distance, one less its cosine, before it is inverted.
@@ -44,9 +46,10 @@ NEAR = 0.05
 PRIOR = 2.0
 THRESHOLD = 0.3
 BEGINNING = 5
-RANGE = 64
+RANGE = 256
 _WORD = re.compile(r"\w+")
 _REMEMBERED = 50_000
+_REMEMBERED_WORDS = 200_000
 
 
 def terms(text: str) -> tuple[Counter, int]:
@@ -59,25 +62,36 @@ def terms(text: str) -> tuple[Counter, int]:
     return found, sum(words.values())
 
 
-def vector(text: str, idf: dict[str, tuple[int, float]]) -> tuple[tuple[int, ...], np.ndarray]:
+class Known(dict):
+    """Word to the numbers and weights of the terms it stands for, filled as words come."""
+
+    def __init__(self, idf: dict[str, tuple[int, float]]):
+        super().__init__()
+        self.idf = idf
+
+    def __missing__(self, word: str):
+        parts = (word, "^" + word[:BEGINNING]) if len(word) > BEGINNING else (word,)
+        found = tuple(self.idf[p] for p in parts if p in self.idf)
+        if len(self) >= _REMEMBERED_WORDS:
+            self.clear()
+        self[word] = found
+        return found
+
+
+def vector(text: str, known: Known) -> tuple[tuple[int, ...], np.ndarray]:
     """Term numbers and unit-length TF-IDF weights; number 0 is for other words."""
     words = Counter(_WORD.findall(text.lower()))
-    found: Counter = Counter()
-    other = 0
-    for word, n in words.items():
-        known = word in idf
-        if known:
-            found[word] += n
-        if len(word) > BEGINNING and (start := "^" + word[:BEGINNING]) in idf:
-            found[start] += n
-            known = True
-        if not known:
-            other += n
-    numbers = sorted((idf[t][0], (1 + math.log(n)) * idf[t][1]) for t, n in found.items())
+    tf: dict[tuple[int, float], int] = {}
+    other = words.total()
+    for word in list(compress(words, map(known.__getitem__, words))):
+        other -= words[word]
+        for term in known[word]:
+            tf[term] = tf.get(term, 0) + words[word]
+    numbers = sorted((i, (1 + math.log(n)) * idf) for (i, idf), n in tf.items())
     # A text without a word stands where a text of other words stands.
     numbers.insert(0, (0, 1 + math.log(other) if other else float(not numbers)))
     weights = np.array([w for _, w in numbers])
-    return tuple(t for t, _ in numbers), weights / np.linalg.norm(weights)
+    return tuple(t for t, _ in numbers), weights / math.sqrt(float(weights @ weights))
 
 
 @dataclass
@@ -140,29 +154,33 @@ class Index:
         rows = np.array(numbers)
         bounds = weights @ self.largest[rows]
         n_ranges = self.largest.shape[1]
-        found: list[tuple[float, int]] = []
+        near, place = np.empty(0), np.empty(0, np.int64)
         least = -1.0
+        offsets = (rows * n_ranges).tolist()
         for r in np.argsort(-bounds, kind="stable").tolist():
             if bounds[r] < least - 1e-9 or bounds[r] <= 0:
                 break
             scores = np.zeros(RANGE)
-            for t, w in zip(numbers, weights, strict=True):
-                at = t * n_ranges + r
-                here = slice(self.offsets[at], self.offsets[at + 1])
-                scores[self.vectors[here] - r * RANGE] += w * self.weights[here]
-            hits = np.flatnonzero((scores > 0) & (scores >= least - 1e-9))
-            found += zip(scores[hits].tolist(), (hits + r * RANGE).tolist(), strict=True)
-            found.sort(key=lambda f: (-f[0], f[1]))
-            seen = 0
-            for score, i in found:
-                seen += self.count[i]
-                if seen >= k:
-                    least = score
-                    break
-        return [f for f in found if f[0] >= least - 1e-9]
-
-    def score(self, text: str, memory: dict, k: int = NEIGHBOURS) -> tuple[float, list]:
-        numbers, weights = vector(text, self.idf)
+            for at, w in zip(offsets, weights.tolist(), strict=True):
+                start, end = self.offsets[at + r : at + r + 2]
+                if start < end:
+                    scores[self.vectors[start:end] - r * RANGE] += w * self.weights[start:end]
+            hits = np.flatnonzero(scores >= max(least - 1e-9, 1e-12))
+            if not len(hits):
+                continue
+            near, place = np.r_[near, scores[hits]], np.r_[place, hits + r * RANGE]
+            order = np.lexsort((place, -near))
+            near, place = near[order], place[order]
+            enough = np.searchsorted(np.cumsum(self.count[place]), k)
+            if enough < len(near):
+                least = near[enough]
+                last = np.searchsorted(-near, -(least - 1e-9), "right")
+                near, place = near[:last], place[:last]
+        return list(zip(near.tolist(), place.tolist(), strict=True))
+
+    def score(self, text: str, known: Known, memory: dict, k: int = NEIGHBOURS):
+        """Score of ``text`` and keys of its nearest examples; ``memory`` has earlier results."""
+        numbers, weights = vector(text, known)
         at = (numbers, weights.tobytes())
         if at not in memory:
             if len(memory) >= _REMEMBERED:
@@ -235,8 +253,9 @@ def fit(
     }
 
     def place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = Known(idf)
         for frame in frames:
-            made = [vector(t, idf) for t in frame["__text"]]
+            made = [vector(t, known) for t in frame["__text"]]
             yield pd.DataFrame(
                 {
                     "key": frame["__key"],
@@ -278,9 +297,9 @@ def score(docs: DataFrame, index: Index, key: str = "doc_id", text: str = "text"
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        memory: dict = {}
+        known, memory = Known(shared.value.idf), {}
         for frame in frames:
-            made = [shared.value.score(t, memory) for t in frame.iloc[:, 1]]
+            made = [shared.value.score(t, known, memory) for t in frame.iloc[:, 1]]
             yield pd.DataFrame(
                 {
                     key: frame.iloc[:, 0],
@@ -290,3 +309,20 @@ def score(docs: DataFrame, index: Index, key: str = "doc_id", text: str = "text"
             )
 
     return docs.select(key, text_or_empty(text).alias("__text")).mapInPandas(run, schema)
+
+
+def without_toxic(
+    docs: DataFrame, index: Index, text: str = "text", threshold: float = THRESHOLD
+) -> DataFrame:
+    """``docs`` without the rows that score ``threshold`` or more; all columns as they are."""
+    small_batches(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(index)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, memory = Known(shared.value.idf), {}
+        for batch in batches:
+            texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
+            scores = [shared.value.score(t or "", known, memory)[0] for t in texts]
+            yield batch.filter(pa.array([s < threshold for s in scores], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
