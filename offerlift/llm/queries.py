@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerlift.llm import fingerprints, packing, pii, quality, secrets, simhash, suffixes, tokens, toxicity
-from offerlift.llm.texts import documents
+from offerlift.llm import fingerprints, packing, pieces, pii, quality, secrets, simhash, suffixes, tokens, toxicity
+from offerlift.llm.texts import documents, text_or_empty
 from offerlift.sources.workspace import new_path
 
 QUERIES = {}
@@ -150,3 +150,17 @@ FROM verdicts"""
 @query
 def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edits(documents(spark, sf_dir))
+
+
+@query
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number and XXH64 of each text's piece ids, and whether they decode to the text."""
+    docs = documents(spark, sf_dir).select("doc_id", text_or_empty().alias("text"))
+    path = vocabulary("piece_bpe_32k.model")
+    made = pieces.decode(pieces.encode(docs, path, keep=["text"]), path)
+    return made.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_pieces"),
+        F.xxhash64("ids").alias("ids_xxh64"),
+        (F.col("decoded") == F.col("text")).alias("round_trip"),
+    )

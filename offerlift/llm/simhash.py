@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from offerlift.llm.components import components
+from offerlift.llm.sketch import mark_possible
 from offerlift.llm.texts import small_batches, text_or_empty
 from offerlift.sources.workspace import materialize
 
@@ -218,3 +219,30 @@ def near_duplicates(
     return made.join(classes, F.col("bits") == F.col("__bits")).select(
         key, F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def without_near_duplicates(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    shingle: int = SHINGLE,
+    distance: int = DISTANCE,
+) -> DataFrame:
+    """``docs`` with one row of each component, the one with the smallest key.
+
+    Of repeated rows one stays. Rows without a key get one above all others
+    from their text. Only rows that may have to go are shuffled.
+    """
+    spare = F.lit(1 << 62) + F.pmod(F.xxhash64(text), F.lit(1 << 61))
+    keyed = docs.withColumn("__key", F.coalesce(F.col(key).cast("long"), spare))
+    found = near_duplicates(keyed, "__key", text, shingle, distance).groupBy("__key")
+    found = found.agg(F.min("component_id").alias("first"), F.count("*").alias("rows"))
+    gone = F.col("__key") != F.col("first")
+    facts = materialize(
+        found.where(gone | (F.col("rows") > 1)).select("__key", gone.alias("__gone")), "copies"
+    )
+    rows = mark_possible(keyed, "__key", facts, "__possible")
+    checked = rows.where("__possible").join(facts, "__key", "left")
+    checked = checked.where(~F.coalesce("__gone", F.lit(False))).dropDuplicates(["__key"])
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return rows.where("not __possible").select(*columns).unionByName(checked.select(*columns))

@@ -127,11 +127,11 @@ class Cache(dict):
 _caches: dict[tuple, Cache] = {}
 
 
-def worker_cache(path: str, form, first_tier: dict | None = None) -> Cache:
+def worker_cache(path: str, form, first_tier: dict | None = None, make=tokenizer) -> Cache:
     """The cache of this worker, which lives on from task to task."""
-    at = (path, form)
+    at = (path, form, make)
     if at not in _caches:
-        _caches[at] = Cache(tokenizer(path), form)
+        _caches[at] = Cache(make(path), form)
     _caches[at].first_tier = first_tier or {}
     return _caches[at]
 
