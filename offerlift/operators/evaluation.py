@@ -136,7 +136,8 @@ def auc_hard(df: DataFrame) -> DataFrame:
 
 
 def _score_counts(df: DataFrame, score: str, label: str) -> DataFrame:
-    return df.groupBy(F.col(score).alias("threshold")).agg(
+    scored = df.where(F.col(score).isNotNull())
+    return scored.groupBy(F.col(score).alias("threshold")).agg(
         F.count(F.when(F.col(label) == 1, 1)).alias("positives"),
         F.count(F.when(F.col(label) == 0, 1)).alias("negatives"),
     )
@@ -162,8 +163,11 @@ def roc_curve(df: DataFrame, score: str = "score", label: str = "label") -> Data
 
 
 def auc_score(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
-    """Exact area under the ROC curve of a score, ties counted half."""
+    """Exact area under the ROC curve of a score, ties counted half.
+
+    Null when only one class occurs; rows with a null score are left out.
+    """
     above = F.col("true_positives") - F.col("positives") / 2
     area = F.sum(F.col("negatives").cast("double") * above)
     pairs = F.sum("positives").cast("double") * F.sum("negatives").cast("double")
-    return _cumulative(df, score, label).agg(F.round(area / pairs, 6).alias("auc_score"))
+    return _cumulative(df, score, label).agg(F.round(F.try_divide(area, pairs), 6).alias("auc_score"))

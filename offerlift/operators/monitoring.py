@@ -17,13 +17,13 @@ from offerlift.functions.timestamps import (
 from offerlift.operators.ordering import with_row_index
 from offerlift.operators.projection import drop_missing
 
+#: Types of metrics that are not plain numbers with a fraction.
 METRICS = {
     "prediction": T.IntegerType(),
     "conversion_probability": T.DoubleType(),
     "final_label": T.IntegerType(),
     "accuracy": T.DoubleType(),
 }
-METRIC_SCHEMA = T.StructType([T.StructField(n, t) for n, t in METRICS.items()])
 
 
 def threshold_label(df: DataFrame, probability: str, threshold: float = 0.5) -> DataFrame:
@@ -117,11 +117,23 @@ def accuracy_drift(blocks: DataFrame, group_by: Sequence[str] = ()) -> DataFrame
 
 
 def flatten_metrics(records: DataFrame, separator: str = "_") -> DataFrame:
-    """Nested metric records to one column per metric, ``metrics_<name>``."""
-    parsed = records.withColumn("metrics", F.from_json("metrics", METRIC_SCHEMA))
+    """Nested metric records to one column per metric, ``metrics_<name>``.
+
+    The known metrics always have a column; any other that occurs in the records
+    gets one too, as a double. Their names are gathered first, one row each.
+    """
+    parsed = records.withColumn("metrics", F.from_json("metrics", "map<string,string>"))
+    names = parsed.select(F.explode(F.map_keys("metrics")).alias("name"))
+    names = names.where(~F.col("name").isin(*METRICS)).agg(F.collect_set("name").alias("names"))
+    others = sorted(names.first()["names"])
+    kinds = METRICS | {name: T.DoubleType() for name in others}
     keep = [c for c in records.columns if c != "metrics"]
     return parsed.select(
-        *keep, *[F.col(f"metrics.{m}").alias(f"metrics{separator}{m}") for m in METRICS]
+        *keep,
+        *[
+            F.col("metrics")[m].try_cast(kind).alias(f"metrics{separator}{m}")
+            for m, kind in kinds.items()
+        ],
     )
 
 

@@ -76,15 +76,26 @@ def drop_missing(df: DataFrame, column: str) -> DataFrame:
 
 
 def parse_requests(df: DataFrame, fields: Sequence[str], body: str = "body") -> DataFrame:
-    """JSON scoring requests to typed feature columns, all double.
+    """JSON scoring requests to typed feature columns, all double, and ``error``.
 
     Field names are matched without regard to case, since clients send them in
-    upper case and models are trained on one spelling.
+    upper case and models are trained on one spelling. A body that is no JSON
+    object, or lacks a number for a field, keeps its row with null features and
+    a reason in ``error``.
     """
-    schema = T.StructType([T.StructField(c.upper(), T.DoubleType()) for c in fields])
     keep = [c for c in df.columns if c != body]
-    parsed = df.withColumn("__body", F.from_json(F.col(body), schema))
-    return parsed.select(*keep, *[F.col(f"__body.{c.upper()}").alias(c) for c in fields])
+    parsed = df.withColumn("__body", F.map_entries(F.from_json(F.col(body), "map<string,string>")))
+
+    def number(field: str) -> Column:
+        same = F.filter("__body", lambda e: F.lower(e["key"]) == field.lower())
+        return F.get(same, F.lit(0))["value"].try_cast("double")
+
+    parsed = parsed.withColumns({f"__{c}": number(c) for c in fields})
+    missing = [F.when(F.col(f"__{c}").isNull(), F.lit(f"no number for {c}")) for c in fields]
+    broken = F.when(F.col("__body").isNull(), F.lit("no JSON object"))
+    parsed = parsed.withColumn("error", F.coalesce(broken, *missing))
+    values = [F.when(F.col("error").isNull(), F.col(f"__{c}")).alias(c) for c in fields]
+    return parsed.select(*keep, *values, "error")
 
 
 def ingest_batch(

@@ -123,6 +123,26 @@ def index_of(column: str) -> str:
       from interactions group by {column})"""
 
 
+INDEXED = (
+    f"join {index_of('zip_code')} z on z.value = zip_code"
+    f" join {index_of('channel')} c on c.value = channel"
+    f" join {index_of('offer')} o on o.value = offer"
+)
+REQUEST_ERROR = "case when interaction_id % 97 = 0 then 'no JSON object' end"
+HELD_OUT = f"conversion is not null and {u('1', text('interaction_id'))} >= 0.8"
+JUDGED = over_interactions(
+    "select conversion as label, count(*) as rows, count(*) as valid_predictions,"
+    " count(*) as valid_scores, true as tells_apart"
+    f" from interactions where {HELD_OUT} group by 1"
+)
+
+
+def grid(first: str, firsts: list[int], second: str, seconds: list[int]) -> str:
+    points = [(a, b) for a in firsts for b in seconds]
+    values = ", ".join(f"({i}, {a}, {b}, true)" for i, (a, b) in enumerate(points))
+    return f"select * from (values {values}) t(point, {first}, {second}, valid_metric)"
+
+
 REPORT = """
 classes as (select 0 as class union all select 1),
 per_class as (
@@ -277,8 +297,8 @@ ORACLES = {
         " from interactions group by batch_id"
     ),
     "append_interactions": over_interactions(
-        "select * exclude (interaction_id)"
-        " replace (round(cast(cast(score as float) as double), 4) as score) from interactions"
+        "select * replace (round(cast(cast(score as float) as double), 4) as score),"
+        " strftime(batch_tms, '%Y-%m-01') as batch_month from interactions"
     ),
     "stamp_batch": over_interactions(
         f"select interaction_id, {FEATURES}, conversion, 'historical' as batch_id,"
@@ -293,7 +313,7 @@ ORACLES = {
     "registry_list": over_registry("select * exclude (ts) from registry"),
     "registry_latest": over_registry(
         "select * exclude (ts) from registry qualify row_number() over ("
-        "partition by object_kind order by training_time desc, run_id desc) = 1"
+        "partition by object_kind order by training_time desc, length(run_id) desc, run_id desc) = 1"
     ),
     "artifact_list": over_registry("select distinct artifact from artifacts"),
     "artifact_latest": over_registry(
@@ -337,10 +357,12 @@ ORACLES = {
         " where conversion is not null"
     ),
     "parse_requests": over_interactions(
-        "select cast(interaction_id as varchar) as request_id, recency::double as recency,"
-        " history::double as history, used_discount::double as used_discount,"
-        " used_bogo::double as used_bogo, is_referral::double as is_referral, score"
-        " from interactions"
+        "select cast(interaction_id as varchar) as request_id, "
+        + ", ".join(
+            f"case when interaction_id % 97 <> 0 then {c}::double end as {c}"
+            for c in "recency history used_discount used_bogo is_referral score".split()
+        )
+        + f", {REQUEST_ERROR} as error from interactions"
     ),
     "delayed_labels": over_events(
         "select p.* exclude (event_type), labelled_at, final_label"
@@ -429,9 +451,8 @@ ORACLES = {
         " order by batch_tms desc, interaction_id limit 1000"
     ),
     "latest_n_train": over_interactions(
-        f"select * from (select interaction_id, {FEATURES}, conversion as label, batch_tms"
-        " from interactions order by batch_tms desc, interaction_id limit 20000)"
-        " where label is not null"
+        f"select interaction_id, {FEATURES}, conversion as label, batch_tms from interactions"
+        " where conversion is not null order by batch_tms desc, interaction_id limit 5000"
     ),
     "hash_split": over_interactions(
         "select interaction_id, recency, history, conversion,"
@@ -509,17 +530,33 @@ ORACLES = {
     ),
     "feature_pipeline": over_interactions(
         "select interaction_id, 20 as width, "
+        + " || ".join(
+            f"list_aggregate([case when {t}.idx = i then '1' else '0' end for i in range(5)],"
+            " 'string_agg', '')"
+            for t in "zco"
+        )
+        + " as one_hot, "
         + ", ".join(
             _scaled(c)
             for c in ("recency", "history", "used_discount", "used_bogo", "is_referral")
         )
-        + " from interactions"
+        + f" from interactions {INDEXED}"
     ),
     "metric_series": over_events(
         'select uuid, "startTimeStampMs", metrics_conversion_probability,'
         ' row_number() over (order by "startTimeStampMs", uuid) as position'
         " from flat where metrics_conversion_probability is not null"
     ),
+    "metric_series_accuracy": over_events(
+        'select uuid, "startTimeStampMs", metrics_accuracy,'
+        ' row_number() over (order by "startTimeStampMs", uuid) as position'
+        " from flat where metrics_accuracy is not null"
+    ),
+    "metric_series_processing_time": over_events(
+        'select uuid, "startTimeStampMs",'
+        ' ("endTimeStampMs" - "startTimeStampMs") * 1000 as processing_micros,'
+        ' row_number() over (order by "startTimeStampMs", uuid) as position from flat'
+    ),
     "metrics_tail_unpivot": over_events(
         """, tail as (
           select * from flat order by "startTimeStampMs" desc, uuid desc limit 5),
@@ -561,4 +598,37 @@ ORACLES = {
     "stream_block_accuracy": over_events(
         f", {blocks(OUTCOME, 'model_id')} select * from blocks"
     ),
+    **{k: JUDGED for k in ("train_rf", "train_gbt", "train_gbt_oversampled", "train_rf_serving")},
+    "holdout_predictions": JUDGED,
+    "cv_grid": grid('"numTrees"', [10, 20, 30], '"maxDepth"', [5, 10]),
+    "cv_grid_boosted": grid('"maxIter"', [3, 6], '"maxDepth"', [2, 10]),
+    "score_batch": over_interactions(
+        ", known as (select * from interactions where conversion is not null), newest as ("
+        "select * from interactions order by batch_tms desc, interaction_id limit 1000) select "
+        + ", ".join(f"{c}::float as {c}" for c in ("recency", "history"))
+        + ", used_discount::float as used_discount, used_bogo::float as used_bogo, zip_code,"
+        " is_referral::float as is_referral, channel, offer,"
+        " round(score::float::double, 4) as score, conversion::float as label,"
+        ' z.idx::float as "zip_code_StringIndex", c.idx::float as "channel_StringIndex",'
+        ' o.idx::float as "offer_StringIndex", true as valid_prediction from newest '
+        + INDEXED.replace("from interactions", "from known")
+    ),
+    "score_requests": over_interactions(
+        f"select cast(interaction_id as varchar) as request_id, {REQUEST_ERROR} as error,"
+        " case when interaction_id % 97 <> 0 then true end as valid_prediction,"
+        " case when interaction_id % 97 <> 0 then true end as valid_probability"
+        " from interactions"
+    ),
+    "ml_save_load": over_interactions(
+        f"select count(*) as rows, 0 as disagreements from interactions where {HELD_OUT}"
+    ),
+    "stream_score": over_interactions(
+        "select count(*) as rows, 0 as disagreements from interactions"
+    ),
+    "retrain": over_interactions(
+        "select *, (select least(1000, count(*)) from interactions) as scored from (values"
+        " ('spark_pipeline', 'run-1', timestamp '2024-02-01 00:00:00'),"
+        " ('spark_model', 'run-2', timestamp '2024-02-01 01:00:00'))"
+        " t(object_kind, run_id, training_time)"
+    ),
 }

@@ -28,6 +28,10 @@ QUERIES: dict[str, Query] = {}
 
 ID = "interaction_id"
 NUMERIC = ["recency", "history", "used_discount", "used_bogo", "is_referral"]
+#: Newest labelled rows of the catalogue's retraining; the operator's default is 20,000.
+TRAIN_ROWS = 5000
+#: What the area under the curve of every fitted model has to exceed.
+LEAST_AUC = 0.6
 STAMP = dt.datetime(2024, 2, 1)
 
 
@@ -83,7 +87,8 @@ def scan_projected(spark, sf_dir):
 
 @query
 def peek(spark, sf_dir):
-    return ordering.peek(interactions(spark, sf_dir, [ID, *FEATURES]), ID, 10)
+    orders = ordering.peek(retail.read(spark, sf_dir, "orders"), "o_orderkey", 10)
+    return interactions(spark, sf_dir, [ID, *FEATURES], orders, few=True)
 
 
 @query
@@ -95,12 +100,16 @@ def column_roles(spark, sf_dir):
 def _stored_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     location = new_path(spark, "interactions")
     table = _table_name("interactions", location)
-    tables.ensure_table(spark, table, tables.INTERACTIONS, replace=True, location=location)
-    tables.append(interactions(spark, sf_dir), table)
-    tables.ensure_table(spark, table, tables.INTERACTIONS)  # exists: left as it is
-    stored = spark.read.schema(tables.INTERACTIONS).parquet(location)
-    spark.sql(f"DROP TABLE {table}")  # the files stay
-    return stored
+    months = ("batch_month",)
+    tables.ensure_table(spark, table, tables.INTERACTIONS, True, months, location)
+    try:
+        rows = interactions(spark, sf_dir)
+        month = F.trunc(F.to_date("batch_tms"), "month")
+        tables.append(rows.withColumn("batch_month", month).repartition("batch_month"), table)
+        tables.ensure_table(spark, table, tables.INTERACTIONS)  # exists: left as it is
+        return materialize(spark.table(table))
+    finally:
+        spark.sql(f"DROP TABLE {table}")
 
 
 @query
@@ -117,7 +126,7 @@ def append_interactions(spark, sf_dir):
     return stored.withColumns(
         {
             "score": F.round(F.col("score").cast("double"), 4),
-            "batch_tms": F.col("batch_tms").cast("timestamp_ntz"),
+            "batch_month": F.col("batch_month").cast("string"),
         }
     )
 
@@ -130,7 +139,8 @@ def stamp_batch(spark, sf_dir):
 
 @query
 def ingest_batch(spark, sf_dir):
-    rows = sampling.sample_n(interactions(spark, sf_dir, [ID, *FEATURES, "conversion"]), 1000, ID)
+    orders = sampling.sample_n(retail.read(spark, sf_dir, "orders"), 1000, "o_orderkey")
+    rows = interactions(spark, sf_dir, [ID, *FEATURES, "conversion"], orders, few=True)
     return projection.ingest_batch(rows, F.lit("batch-1"), _stamp())
 
 
@@ -140,11 +150,12 @@ def registry_append(spark, sf_dir):
     table = _table_name("registry", location)
     registry.ensure_registry(spark, table, location)
     runs = retail.registry_rows(spark, sf_dir)
-    registry.register(runs.where(F.col("object_kind") != "sklearn_model"), table)
-    registry.register(runs, table)  # runs already there are not added twice
-    stored = spark.read.schema(registry.REGISTRY).parquet(location)
-    spark.sql(f"DROP TABLE {table}")
-    return stored
+    try:
+        registry.register(runs.where(F.col("object_kind") != "sklearn_model"), table)
+        registry.register(runs, table)  # runs already there are not added twice
+        return materialize(spark.table(table))
+    finally:
+        spark.sql(f"DROP TABLE {table}")
 
 
 @query
@@ -184,11 +195,12 @@ def metrics_snapshot(spark, sf_dir):
     location = new_path(spark, "metrics")
     table = _table_name("metrics", location)
     metrics = monitoring.flatten_metrics(retail.metric_events(spark, sf_dir))
-    tables.write_if_absent(metrics, table, location)
-    tables.write_if_absent(metrics.where(F.lit(False)), table, location)  # ignored
-    stored = spark.read.schema(metrics.schema).parquet(location)
-    spark.sql(f"DROP TABLE {table}")
-    return stored
+    try:
+        tables.write_if_absent(metrics, table, location)
+        tables.write_if_absent(metrics.where(F.lit(False)), table, location)  # ignored
+        return materialize(spark.table(table))
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
 @query
@@ -371,17 +383,24 @@ def string_index(spark, sf_dir):
     return features.indexer(BLOCK).fit(df).transform(df)
 
 
+def _newest(spark: SparkSession, sf_dir: str, n: int, labelled: bool = False) -> DataFrame:
+    """The newest interactions; the rest of the tables is read for these orders only."""
+    orders = retail.read(spark, sf_dir, "orders")
+    if labelled:
+        orders = orders.where("o_orderstatus <> 'P'")  # what the mapping labels
+    orders = ordering.latest_n(orders, n, "o_orderdate", "o_orderkey")
+    columns = [ID, *FEATURES, "conversion", "batch_tms"]
+    return interactions(spark, sf_dir, columns, orders, few=True)
+
+
 @query
 def latest_n(spark, sf_dir):
-    df = interactions(spark, sf_dir, [ID, *FEATURES, "conversion", "batch_tms"])
-    return ordering.latest_n(df, 1000, "batch_tms", ID)
+    return _newest(spark, sf_dir, 1000)
 
 
 @query
 def latest_n_train(spark, sf_dir):
-    df = interactions(spark, sf_dir, [ID, *FEATURES, "conversion", "batch_tms"])
-    newest = ordering.latest_n(df, 20000, "batch_tms", ID)
-    return projection.labelled(projection.as_label(newest))
+    return projection.as_label(_newest(spark, sf_dir, TRAIN_ROWS, labelled=True))
 
 
 # --- sampling ----------------------------------------------------------------
@@ -395,7 +414,8 @@ def hash_split(spark, sf_dir):
 
 @query
 def sample_n(spark, sf_dir):
-    return sampling.sample_n(interactions(spark, sf_dir, [ID, *FEATURES]), 1000, ID)
+    orders = sampling.sample_n(retail.read(spark, sf_dir, "orders"), 1000, "o_orderkey")
+    return interactions(spark, sf_dir, [ID, *FEATURES], orders, few=True)
 
 
 @query
@@ -519,9 +539,10 @@ def json_field(spark, sf_dir):
 def one_hot(spark, sf_dir):
     df = interactions(spark, sf_dir, [ID, "channel"])
     indexed = features.indexer(["channel"]).fit(df).transform(df)
-    encoded = features.encoder(["channel"]).fit(indexed).transform(indexed)
-    values = encoded.withColumn("v", vector_to_array("channel_ClassVect"))
-    return values.select(ID, "channel", *[F.col("v")[i].alias(f"c{i}") for i in range(5)])
+    encoder = features.encoder(["channel"]).fit(indexed)
+    values = encoder.transform(indexed).withColumn("v", vector_to_array("channel_ClassVect"))
+    width = encoder.categorySizes[0] - 1  # the last one, of unseen categories, is dropped
+    return values.select(ID, "channel", *[F.col("v")[i].alias(f"c{i}") for i in range(width)])
 
 
 @query
@@ -536,126 +557,184 @@ def feature_pipeline(spark, sf_dir):
     df = interactions(spark, sf_dir, [ID, *BLOCK, *NUMERIC])
     out, _ = features.feature_pipeline(df, BLOCK, NUMERIC)
     values = out.withColumn("v", vector_to_array("scaledFeatures"))
-    first = 5 * len(BLOCK)  # the one-hot slots come first
+    values = values.withColumn("slots", vector_to_array("features"))
+    first = F.size("v") - len(NUMERIC)  # the one-hot slots come first
     return values.select(
         ID,
         F.size("v").alias("width"),
+        F.array_join(
+            F.transform(F.slice("slots", F.lit(1), first), lambda x: x.cast("int").cast("string")),
+            "",
+        ).alias("one_hot"),
         *[F.round(F.col("v")[first + i], 6).alias(f"{c}_scaled") for i, c in enumerate(NUMERIC)],
     )
 
 
 def _model_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every interaction with its features and label."""
-    rows = interactions(spark, sf_dir, [ID, *FEATURES, "conversion"])
-    return training.training_rows(projection.as_label(rows), ID)
+    """Every labelled interaction with its features."""
+    rows = projection.as_label(interactions(spark, sf_dir, [ID, *FEATURES, "conversion"]))
+    return training.training_rows(projection.labelled(rows), ID)
 
 
 def _split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return sampling.hash_split(_model_rows(spark, sf_dir), ID)
 
 
+def _judged(predictions: DataFrame) -> DataFrame:
+    """What is determined about a model's output: its rows, their form, and a least quality."""
+    rows = materialize(predictions)
+    auc = evaluation.auc_score(rows).first()["auc_score"]
+    return rows.groupBy("label").agg(
+        F.count("*").alias("rows"),
+        F.count_if(F.col("prediction").isin(0, 1)).alias("valid_predictions"),
+        F.count_if(F.col("score").between(0, 1)).alias("valid_scores"),
+        F.lit(auc is not None and auc > LEAST_AUC).alias("tells_apart"),
+    )
+
+
 @query
 def train_rf(spark, sf_dir):
     train, test = _split(spark, sf_dir)
     model = training.fit_pipeline(train, training.random_forest(), ID)
-    return training.holdout_predictions(model, test, ID)
+    return _judged(training.holdout_predictions(model, test, ID))
 
 
 @query
 def train_gbt(spark, sf_dir):
     train, test = _split(spark, sf_dir)
-    model = training.fit_pipeline(train, training.boosted_trees(maxIter=3, maxDepth=2), ID)
-    return training.holdout_predictions(model, test, ID)
+    model = training.fit_pipeline(train, training.boosted_trees(), ID)
+    return _judged(training.holdout_predictions(model, test, ID))
 
 
 @query
 def train_gbt_oversampled(spark, sf_dir):
     train, test = _split(spark, sf_dir)
-    gbt = training.boosted_trees(maxIter=3, maxDepth=2)
-    model = training.fit_oversampled(train, gbt, ID, ["recency", "history"])
-    return training.holdout_predictions(model, test, ID)
+    model = training.fit_oversampled(train, training.boosted_trees(), ID, ["recency", "history"])
+    return _judged(training.holdout_predictions(model, test, ID))
 
 
 @query
 def train_rf_serving(spark, sf_dir):
     train, test = _split(spark, sf_dir)
-    return training.holdout_predictions(training.fit_serving_model(train), test, ID)
+    return _judged(training.holdout_predictions(training.fit_serving_model(train), test, ID))
 
 
-def grid_search(spark: SparkSession, sf_dir: str, folds: int) -> DataFrame:
-    train, _ = _split(spark, sf_dir)
-    forest = training.random_forest()
-    _, found = training.cross_validate(train, forest, training.FOREST_GRID, ID, folds)
-    return training.grid_results(spark, found)
+def _grid_rows(spark: SparkSession, found) -> DataFrame:
+    """Grid points with their parameters and whether their metric is better than chance."""
+    rows = training.grid_results(spark, found)
+    names = sorted({p.name for point in found.getEstimatorParamMaps() for p in point})
+    values = [F.col("params")[n].cast("int").alias(n) for n in names]
+    return rows.select("point", *values, F.col("avg_metric").between(0.5, 1).alias("valid_metric"))
 
 
 @query
 def cv_grid(spark, sf_dir):
-    return grid_search(spark, sf_dir, folds=2)
+    train, _ = _split(spark, sf_dir)
+    forest = training.random_forest()
+    _, found = training.cross_validate(train, forest, training.FOREST_GRID, ID)
+    return _grid_rows(spark, found)
 
 
 @query
 def cv_grid_boosted(spark, sf_dir):
     train, _ = _split(spark, sf_dir)
     trees = training.boosted_trees()
-    _, found = training.cross_validate(train, trees, training.BOOSTED_GRID, ID, folds=2)
-    return training.grid_results(spark, found)
+    _, found = training.cross_validate(
+        train, trees, training.BOOSTED_GRID, ID, metric="accuracy"
+    )
+    return _grid_rows(spark, found)
 
 
 @query
 def holdout_predictions(spark, sf_dir):
     train, test = _split(spark, sf_dir)
-    small = {"numTrees": [5], "maxDepth": [3, 5]}
-    model, _ = training.cross_validate(train, training.random_forest(), small, ID, folds=2)
-    return training.holdout_predictions(model, test, ID)
+    forest = training.random_forest()
+    model, _ = training.cross_validate(train, forest, training.FOREST_GRID, ID)
+    return _judged(training.holdout_predictions(model, test, ID))
+
+
+def _with_registry(spark: SparkSession, use: Callable[[str, str], DataFrame]) -> DataFrame:
+    root = new_path(spark, "models")
+    table = _table_name("registry", root)
+    registry.ensure_registry(spark, table, f"{root}/registry")
+    try:
+        return use(table, root)
+    finally:
+        spark.sql(f"DROP TABLE {table}")
 
 
 @query
 def score_batch(spark, sf_dir):
-    train = _model_rows(spark, sf_dir)
-    model = training.fit_pipeline(train, training.random_forest(), ID)
-    rows = interactions(spark, sf_dir, [ID, *FEATURES, "conversion", "batch_tms"])
-    return scoring.score_batch(rows, model)
+    """The newest registered model scores the newest rows into the prediction table."""
+    model = training.fit_pipeline(_model_rows(spark, sf_dir), training.random_forest(), ID)
+
+    def use(table: str, root: str) -> DataFrame:
+        registry.save_ml(spark, model, "spark_model", root, table, "run-1", STAMP)
+        scores = table.replace("registry", "predictions")
+        tables.ensure_table(spark, scores, tables.PREDICTIONS, location=f"{root}/predictions")
+        try:
+            newest = _newest(spark, sf_dir, 1000)
+            scoring.score_into(newest, registry.load_model(spark, table), scores)
+            return materialize(spark.table(scores))
+        finally:
+            spark.sql(f"DROP TABLE {scores}")
+
+    stored = _with_registry(spark, use)
+    return stored.select(
+        *[F.round(F.col(c).cast("double"), 4).alias(c) if c == "score" else c for c in FEATURES],
+        "label",
+        *[f"{c}_StringIndex" for c in BLOCK],
+        F.col("prediction").isin(0.0, 1.0).alias("valid_prediction"),
+    )
 
 
 @query
 def score_requests(spark, sf_dir):
     model = training.fit_serving_model(_model_rows(spark, sf_dir))
-    return scoring.score_requests(retail.requests(spark, sf_dir), model)
+    scored = scoring.score_requests(retail.requests(spark, sf_dir), model)
+    return scored.select(
+        "request_id",
+        "error",
+        F.col("prediction").isin(0.0, 1.0).alias("valid_prediction"),
+        F.col("conversion_probability").between(0, 1).alias("valid_probability"),
+    )
 
 
-def _with_registry(spark: SparkSession, use: Callable[[str, str], DataFrame]) -> DataFrame:
-    root = new_path(spark, "models")
-    table = _table_name("registry", root)
-    registry.ensure_registry(spark, table, f"{root}/registry")
-    try:
-        return use(table, root)
-    finally:
-        spark.sql(f"DROP TABLE {table}")
+def _disagreements(first: DataFrame, second: DataFrame, columns: list[str]) -> DataFrame:
+    """Number of rows of ``first`` and of rows that only one of the two has."""
+    first, second = materialize(first.select(columns)), materialize(second.select(columns))
+    odd = first.exceptAll(second).count() + second.exceptAll(first).count()
+    return first.agg(F.count("*").alias("rows"), F.lit(odd).alias("disagreements"))
 
 
 @query
 def ml_save_load(spark, sf_dir):
     train, test = _split(spark, sf_dir)
-    fitted = training.fit_pipeline(train, training.random_forest(numTrees=5), ID)
+    fitted = training.fit_pipeline(train, training.random_forest(), ID)
 
     def use(table: str, root: str) -> DataFrame:
         registry.save_ml(spark, fitted, "spark_model", root, table, "run-1", STAMP)
-        return training.holdout_predictions(registry.load_model(spark, table), test, ID)
+        loaded = registry.load_model(spark, table)
+        made = [training.holdout_predictions(m, test, ID) for m in (fitted, loaded)]
+        return _disagreements(*made, [ID, "label", "prediction", "score"])
 
     return _with_registry(spark, use)
 
 
 @query
 def retrain(spark, sf_dir):
-    rows = materialize(interactions(spark, sf_dir, [ID, *FEATURES, "conversion", "batch_tms"]))
+    """Registry after a retraining, with the number of rows that the new model scored."""
+    rows = _newest(spark, sf_dir, TRAIN_ROWS, labelled=True)
     sample = projection.as_label(projection.select_features(rows, [ID, *FEATURES]))
-    unfitted = training.make_pipeline(sample, training.random_forest(numTrees=5), ID)
+    unfitted = training.make_pipeline(sample, training.random_forest(), ID)
 
     def use(table: str, root: str) -> DataFrame:
         registry.save_ml(spark, unfitted, "spark_pipeline", root, table, "run-1", STAMP)
-        scoring.retrain(spark, rows, table, root, "run-2", now=STAMP + dt.timedelta(hours=1))
-        return scoring.score_batch(rows, registry.load_model(spark, table))
+        later = STAMP + dt.timedelta(hours=1)
+        scoring.retrain(spark, rows, table, root, "run-2", TRAIN_ROWS, now=later)
+        scored = scoring.score_batch(_newest(spark, sf_dir, 1000), registry.load_model(spark, table))
+        entries = spark.table(table).select("object_kind", "run_id", "training_time")
+        return materialize(entries.withColumn("scored", F.lit(scored.count())))
 
     return _with_registry(spark, use)
 
@@ -669,6 +748,17 @@ def metric_series(spark, sf_dir):
     return monitoring.metric_series(metrics, "metrics_conversion_probability")
 
 
+@query
+def metric_series_accuracy(spark, sf_dir):
+    return monitoring.metric_series(metrics_flatten(spark, sf_dir), "metrics_accuracy")
+
+
+@query
+def metric_series_processing_time(spark, sf_dir):
+    timed = monitoring.with_metric_times(retail.metric_events(spark, sf_dir).drop("metrics"))
+    return monitoring.metric_series(timed, "processing_micros")
+
+
 @query
 def metrics_tail_unpivot(spark, sf_dir):
     return monitoring.tail_transposed(metrics_flatten(spark, sf_dir))
@@ -688,14 +778,15 @@ def stream_ingest(spark, sf_dir):
 
 @query
 def stream_score(spark, sf_dir):
-    model = training.fit_pipeline(
-        _model_rows(spark, sf_dir), training.random_forest(numTrees=5), ID
-    )
+    model = training.fit_pipeline(_model_rows(spark, sf_dir), training.random_forest(), ID)
     out = new_path(spark, "stream-score")
     orders = retail.read_stream(spark, sf_dir, "orders")
     rows = projection.as_label(interactions(spark, sf_dir, [ID, *FEATURES, "conversion"], orders))
     jobs.score(rows, f"{out}/rows", f"{out}/state", lambda: model, scoring.prediction_columns)
-    return spark.read.parquet(f"{out}/rows").drop("epoch")
+    streamed = spark.read.parquet(f"{out}/rows").drop("epoch")
+    batch = projection.as_label(interactions(spark, sf_dir, [ID, *FEATURES, "conversion"]))
+    batch = scoring.prediction_columns(model.transform(batch))
+    return _disagreements(batch, streamed, scoring.PREDICTION_COLUMNS)
 
 
 @query
@@ -703,7 +794,9 @@ def stream_delayed_labels(spark, sf_dir):
     out = new_path(spark, "stream-labels")
     predictions = retail.prediction_rows(retail.read_stream(spark, sf_dir, "events"))
     truth = retail.truth_rows(retail.read_stream(spark, sf_dir, "events"))
-    jobs.delayed_labels(predictions, truth, f"{out}/rows", f"{out}/state")
+    jobs.delayed_labels(
+        predictions, truth, f"{out}/rows", f"{out}/state", lateness="10 minutes", within="1 hour"
+    )
     return spark.read.parquet(f"{out}/rows")
 
 
@@ -717,7 +810,10 @@ def _labelled_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stream_accuracy(spark, sf_dir):
     out = new_path(spark, "stream-accuracy")
-    jobs.windowed_accuracy(_labelled_stream(spark, sf_dir), f"{out}/rows", f"{out}/state")
+    rows = _labelled_stream(spark, sf_dir)
+    jobs.windowed_accuracy(
+        rows, f"{out}/rows", f"{out}/state", window="1 day", lateness="1 hour"
+    )
     return spark.read.parquet(f"{out}/rows")
 
 

@@ -12,6 +12,7 @@ from offerlift.operators.ordering import latest_n
 from offerlift.operators.projection import as_label, labelled, parse_requests, select_features
 from offerlift.plans.training import SERVING_FEATURES, positive_probability
 from offerlift.sources.registry import load_pipeline, save_ml
+from offerlift.sources.tables import append
 from offerlift.sources.retail import BLOCK, FEATURES, TARGET
 from offerlift.sources.workspace import materialize
 
@@ -44,13 +45,25 @@ def score_batch(
     return prediction_columns(model.transform(with_target_as_label(newest)))
 
 
+def score_into(df: DataFrame, model: PipelineModel, table: str) -> None:
+    """Append the predictions for all rows of ``df`` to the prediction table."""
+    append(prediction_columns(model.transform(with_target_as_label(df))), table)
+
+
 def score_requests(df: DataFrame, model: PipelineModel) -> DataFrame:
-    """Prediction and conversion probability for each JSON request."""
-    scored = positive_probability(model.transform(parse_requests(df, SERVING_FEATURES)))
+    """Prediction and conversion probability for each JSON request.
+
+    A request that cannot be read keeps its row, with nulls and the ``error``.
+    """
+    parsed = parse_requests(df, SERVING_FEATURES)
+    # The model refuses nulls; what it makes of the filler is not returned.
+    scored = positive_probability(model.transform(parsed.fillna(0.0, SERVING_FEATURES)))
+    good = F.col("error").isNull()
     return scored.select(
         *[c for c in df.columns if c != "body"],
-        F.col("prediction"),
-        F.col("conversion_probability"),
+        F.when(good, F.col("prediction")).alias("prediction"),
+        F.when(good, F.col("conversion_probability")).alias("conversion_probability"),
+        "error",
     )
 
 
@@ -66,11 +79,8 @@ def retrain(
     day_col: str | None = None,
     now: dt.datetime | None = None,
 ) -> str:
-    """Fit the newest registered pipeline on the newest rows and register the result.
-
-    Of the ``n`` newest rows only those with a known outcome are fitted.
-    """
-    newest = latest_n(df, n, time_col, key, day_col)
-    rows = materialize(labelled(as_label(select_features(newest))))  # fitting rereads them
+    """Fit the newest registered pipeline on the newest labelled rows and register the result."""
+    newest = latest_n(labelled(df, TARGET), n, time_col, key, day_col)
+    rows = materialize(as_label(select_features(newest)))  # fitting rereads them
     model = load_pipeline(spark, registry).fit(rows)
     return save_ml(spark, model, "spark_model", root, registry, run_id, now)

@@ -6,7 +6,10 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.evaluation import (
+    BinaryClassificationEvaluator,
+    MulticlassClassificationEvaluator,
+)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame
@@ -28,13 +31,12 @@ BOOSTED_GRID = {"maxIter": [3, 6], "maxDepth": [2, 10]}
 
 
 def training_rows(df: DataFrame, key: str) -> DataFrame:
-    """``df`` spread by key and written once.
+    """``df`` in even partitions of a size that Spark chooses, written once.
 
-    Fitting passes over its rows dozens of times, so their partitions should be
-    even and should not be computed again from the source each time.
+    Fitting passes over its rows dozens of times, so they should not be computed
+    again from the source each time.
     """
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return materialize(df.repartition(partitions, key))
+    return materialize(df.hint("rebalance", key))
 
 
 def random_forest(**params) -> RandomForestClassifier:
@@ -89,8 +91,8 @@ def fit_oversampled(
         percentage_over=percentage_over,
         percentage_under=percentage_under,
     )
-    classifier.setFeaturesCol("scaledFeatures")
-    fitted = classifier.fit(training_rows(balanced.select(key, "scaledFeatures", "label"), key))
+    own = classifier.copy().setFeaturesCol("scaledFeatures")
+    fitted = own.fit(training_rows(balanced.select(key, "scaledFeatures", "label"), key))
     return PipelineModel(stages=[*features.stages, fitted])
 
 
@@ -102,6 +104,13 @@ def param_grid(classifier, values: Mapping[str, Sequence]) -> list:
     return builder.build()
 
 
+def evaluator(metric: str):
+    """Area metrics come from scores, all others from predictions."""
+    if metric.startswith("areaUnder"):
+        return BinaryClassificationEvaluator(labelCol="label", metricName=metric)
+    return MulticlassClassificationEvaluator(labelCol="label", metricName=metric)
+
+
 def cross_validate(
     df: DataFrame,
     classifier,
@@ -109,8 +118,9 @@ def cross_validate(
     key: str,
     folds: int = 5,
     parallelism: int = 8,
+    metric: str = "areaUnderROC",
 ) -> tuple[PipelineModel, CrossValidatorModel]:
-    """The best model of the grid by mean AUC over the folds, and the search.
+    """The best model of the grid by mean ``metric`` over the folds, and the search.
 
     Features are fitted once on the training rows and kept while the grid runs,
     so a candidate costs tree building only. Folds follow the row key.
@@ -123,7 +133,7 @@ def cross_validate(
     search = CrossValidator(
         estimator=classifier,
         estimatorParamMaps=param_grid(classifier, grid),
-        evaluator=BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC"),
+        evaluator=evaluator(metric),
         numFolds=folds,
         foldCol="fold",
         parallelism=parallelism,

@@ -59,11 +59,14 @@ def registry_entry(
 
 
 def latest(registry: DataFrame, kind: str | None = None) -> DataFrame:
-    """The newest entry of each kind, the highest run id on equal times."""
+    """The newest entry of each kind; of equal times the longer, then greater run id wins.
+
+    So ``run-10`` comes after ``run-9``.
+    """
     if kind is not None:
         registry = registry.where(F.col("object_kind") == kind)
     entry = F.struct("name", "object_id", "training_time", "location", "run_id")
-    newest = F.max_by(entry, F.struct("training_time", "run_id"))
+    newest = F.max_by(entry, F.struct("training_time", F.length("run_id"), "run_id"))
     return registry.groupBy("object_kind").agg(newest.alias("e")).select("object_kind", "e.*")
 
 
@@ -83,10 +86,10 @@ def save_ml(
     run_id: str,
     now: dt.datetime | None = None,
 ) -> str:
-    """Save a pipeline or model under its time suffix and register that exact path."""
+    """Save a pipeline or model under its run and time suffix and register that exact path."""
     now = now or dt.datetime.now()
-    location = f"{root.rstrip('/')}/{kind}/{now:%d%m%Y%H%M%S}"
-    stage.write().overwrite().save(location)
+    location = f"{root.rstrip('/')}/{kind}/{run_id}/{now:%d%m%Y%H%M%S}"
+    stage.write().save(location)
     register(registry_entry(spark, kind, stage.uid, now, location, run_id), table)
     return location
 

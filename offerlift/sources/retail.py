@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from offerlift.functions.hashing import hash_uniform
-from offerlift.functions.timestamps import epoch_micros, epoch_ms, time_suffix
+from offerlift.functions.timestamps import epoch_micros, epoch_ms, iso_text, time_suffix
 
 FEATURES = [
     "recency",
@@ -103,10 +103,13 @@ def _customers(spark: SparkSession, sf_dir: str, wanted: set[str]) -> DataFrame:
     return customers
 
 
-def _line_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _line_flags(spark: SparkSession, sf_dir: str, only: DataFrame | None = None) -> DataFrame:
+    lines = read(spark, sf_dir, "lineitem")
+    if only is not None:
+        keys = only.select(F.col("o_orderkey").alias("l_orderkey"))
+        lines = lines.join(F.broadcast(keys), "l_orderkey", "left_semi")
     return (
-        read(spark, sf_dir, "lineitem")
-        .groupBy(F.col("l_orderkey").alias("o_orderkey"))
+        lines.groupBy(F.col("l_orderkey").alias("o_orderkey"))
         .agg(
             F.max((F.col("l_discount") >= 0.09).cast("int")).alias("any_discount"),
             F.max((F.col("l_quantity") >= 48).cast("int")).alias("any_bogo"),
@@ -119,16 +122,19 @@ def interactions(
     sf_dir: str,
     columns: Sequence[str] | None = None,
     orders: DataFrame | None = None,
+    few: bool = False,
 ) -> DataFrame:
     """Customer interactions with marketing offers, one row per order.
 
-    ``orders`` may be a stream of orders; the other tables are static.
+    ``orders`` may be a stream of orders; the other tables are static. If
+    ``orders`` is a bounded number of rows, ``few`` sends their keys to the scan
+    of the order lines, so that only these lines are aggregated.
     """
     columns = list(columns or INTERACTION_COLUMNS)
     wanted = set(columns)
     rows = read(spark, sf_dir, "orders") if orders is None else orders
     if wanted & _FROM_LINES:
-        rows = rows.join(_line_flags(spark, sf_dir), "o_orderkey", "left")
+        rows = rows.join(_line_flags(spark, sf_dir, rows if few else None), "o_orderkey", "left")
     else:
         rows = rows.withColumns({"any_discount": F.lit(0), "any_bogo": F.lit(0)})
     if wanted & _FROM_CUSTOMER:
@@ -156,7 +162,7 @@ def interactions(
             F.col("o_orderstatus") != "P",
             F.when(hash_uniform("y", "o_orderkey") < response_rate, 1).otherwise(0),
         ),
-        "batch_id": F.md5(F.date_format("o_orderdate", "yyyyMM")),
+        "batch_id": F.md5(F.regexp_replace(F.left(F.col("o_orderdate").cast("string"), F.lit(7)), "-", "")),
         "batch_tms": F.col("o_orderdate").cast("timestamp_ntz"),
     }
     return rows.select(*[derived[c].alias(c) if c in derived else F.col(c) for c in columns])
@@ -231,17 +237,29 @@ def metric_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scoring requests as JSON text, upper-case field names as clients send them."""
+    """Scoring requests as JSON text, with field names in three spellings.
+
+    One body in 97 is cut off, as by a broken connection.
+    """
     fields = ["recency", "history", "used_discount", "used_bogo", "is_referral", "score"]
     rows = interactions(spark, sf_dir, ["interaction_id", *fields])
+    number = F.col("interaction_id")
+
+    def body(spell) -> Column:
+        return F.to_json(F.struct(*[F.col(c).alias(spell(c)) for c in fields]))
+
+    spelt = F.when(number % 3 == 0, body(str.upper)).when(number % 3 == 1, body(str.lower))
+    spelt = spelt.otherwise(body(str.title))
     return rows.select(
-        F.col("interaction_id").cast("string").alias("request_id"),
-        F.to_json(F.struct(*[F.col(c).alias(c.upper()) for c in fields])).alias("body"),
+        number.cast("string").alias("request_id"),
+        F.when(number % 97 == 0, F.substring(spelt, 1, 30)).otherwise(spelt).alias("body"),
     )
 
 
 def _truncated(unit: str) -> Column:
-    return F.date_trunc(unit, F.col("ts").cast("timestamp")).cast("timestamp_ntz")
+    day = F.to_date("ts")
+    hour = F.hour("ts") if unit == "hour" else F.lit(0)
+    return day.cast("timestamp_ntz") + F.make_dt_interval(hours=hour)
 
 
 def registry_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -257,9 +275,8 @@ def registry_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     event = F.col("event_id").cast("string")
     name = F.when(kind == "spark_pipeline", "Pipeline").otherwise("PipelineModel")
-    iso = F.when(
-        F.col("event_id") % 3 == 0, F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
-    ).otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    ts = F.col("ts")
+    iso = F.when(F.col("event_id") % 3 == 0, iso_text(ts)).otherwise(iso_text(ts, fraction=True))
     return read(spark, sf_dir, "events").select(
         kind.alias("object_kind"),
         name.alias("name"),

@@ -8,10 +8,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# The table definition of customer interactions, with the partition column that
-# lets "newest rows" queries skip older days.
+# The table definition of customer interactions: a key, and a partition column
+# that lets "newest rows" queries skip older months.
 INTERACTIONS = T.StructType(
     [
+        T.StructField("interaction_id", T.LongType()),
         T.StructField("name", T.StringType()),
         T.StructField("street_address", T.StringType()),
         T.StructField("city", T.StringType()),
@@ -29,7 +30,8 @@ INTERACTIONS = T.StructType(
         T.StructField("conversion", T.IntegerType()),
         T.StructField("score", T.FloatType()),
         T.StructField("batch_id", T.StringType()),
-        T.StructField("batch_tms", T.TimestampType()),
+        T.StructField("batch_tms", T.TimestampNTZType()),
+        T.StructField("batch_month", T.DateType()),
     ]
 )
 
@@ -80,9 +82,14 @@ def ensure_table(
 
 
 def append(df: DataFrame, table: str) -> None:
-    """Append by column name; columns the frame lacks become null."""
+    """Append by column name; columns the frame lacks become null.
+
+    A column that the table does not have is an error, not a loss.
+    """
     target = df.sparkSession.table(table).schema
     present = {c.lower() for c in df.columns}
+    if unknown := present - {f.name.lower() for f in target.fields}:
+        raise ValueError(f"{table} has no column {', '.join(sorted(unknown))}")
 
     def value(name: str) -> Column:
         return F.col(name) if name.lower() in present else F.lit(None)

@@ -14,6 +14,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from offerlift.functions.timestamps import epoch_micros, from_epoch_micros
 from offerlift.operators.monitoring import block_parts, full_blocks
 from offerlift.operators.ordering import with_row_index
 from offerlift.operators.projection import ingest_batch
@@ -42,12 +43,12 @@ def _append_to(stream: DataFrame, path: str, state: str) -> None:
 
 
 def _event_time(df: DataFrame, column: str) -> DataFrame:
-    """Watermarks take ``timestamp`` only; wall-clock columns are converted."""
-    return df.withColumn(column, F.col(column).cast("timestamp"))
+    """Watermarks take ``timestamp`` only; wall clocks are read as UTC for them."""
+    return df.withColumn(column, F.timestamp_micros(epoch_micros(F.col(column))))
 
 
 def _wall_clock(df: DataFrame, *columns: str) -> DataFrame:
-    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})
+    return df.withColumns({c: from_epoch_micros(F.unix_micros(F.col(c))) for c in columns})
 
 
 def _write_batch(batch: DataFrame, path: str, epoch: int) -> None:
@@ -89,12 +90,14 @@ def delayed_labels(
     truth: DataFrame,
     path: str,
     state: str,
-    lateness: str = "10 minutes",
-    within: str = "1 hour",
+    *,
+    lateness: str,
+    within: str,
 ) -> None:
     """Predictions joined to the outcomes that arrive up to ``within`` later.
 
-    The bound and the two watermarks let Spark drop state it cannot need.
+    The bound and the two watermarks let Spark drop state it cannot need; what
+    comes later than they allow is lost, so there is no default for them.
     """
     p = _event_time(predictions, "predicted_at").withWatermark("predicted_at", lateness)
     t = _event_time(truth, "labelled_at").withWatermark("labelled_at", lateness)
@@ -113,8 +116,9 @@ def windowed_accuracy(
     labelled: DataFrame,
     path: str,
     state: str,
-    window: str = "1 day",
-    lateness: str = "1 hour",
+    *,
+    window: str,
+    lateness: str,
     time_col: str = "predicted_at",
 ) -> None:
     """Accuracy per time window, written once the watermark has passed its end."""

@@ -95,9 +95,14 @@ def test_requests_get_a_probability_each(spark, split, sf_dir):
     model = training.fit_serving_model(split[0])
     assert model.stages[-1].getNumTrees == 100 and model.stages[-1].getMaxDepth() == 2
     scored = scoring.score_requests(requests(spark, sf_dir), model)
-    assert scored.columns == ["request_id", "prediction", "conversion_probability"]
+    assert scored.columns == ["request_id", "prediction", "conversion_probability", "error"]
     asked = requests(spark, sf_dir).count()
-    assert scored.where("conversion_probability between 0 and 1").count() == asked
+    assert scored.count() == asked
+    broken = scored.where("error is not null")
+    assert 0 < broken.count() < asked / 50
+    assert broken.where("prediction is not null").count() == 0
+    good = scored.where("error is null and conversion_probability between 0 and 1")
+    assert good.count() == asked - broken.count()
 
 
 def test_a_category_unseen_in_training_is_scored(spark):

@@ -54,7 +54,7 @@ def test_no_step_sorts_all_rows_in_one_task(spark):
     df = with_row_index(shuffled(spark, 1000), ["id"])
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
-    assert "Scan ExistingRDD" in plan  # the sorted rows come from reliable storage
+    assert "FileScan parquet" in plan and "Sort [id" not in plan  # sorted rows were written
 
 
 def times(spark, rows):

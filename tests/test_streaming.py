@@ -65,6 +65,8 @@ def test_delayed_labels_over_micro_batches(spark, sf_dir):
         retail.truth_rows(stream(spark, path)),
         f"{out}/rows",
         f"{out}/state",
+        lateness="10 minutes",
+        within="1 hour",
     )
     batch = attach_labels(retail.predictions(spark, sf_dir), retail.truth(spark, sf_dir))
     assert rows(spark.read.parquet(f"{out}/rows")) == rows(batch)
@@ -76,7 +78,12 @@ def test_truth_after_the_bound_is_not_matched(spark, sf_dir):
         "labelled_at", F.expr("labelled_at + interval 2 hours")
     )
     jobs.delayed_labels(
-        retail.prediction_rows(stream(spark, path)), late, f"{out}/rows", f"{out}/state"
+        retail.prediction_rows(stream(spark, path)),
+        late,
+        f"{out}/rows",
+        f"{out}/state",
+        lateness="10 minutes",
+        within="1 hour",
     )
     assert spark.read.schema("uuid string").parquet(f"{out}/rows").count() == 0
 
@@ -92,7 +99,7 @@ def test_windows_wait_for_the_watermark_and_drop_late_rows(spark):
         rows = df.select(moment, "final_label", "response_label")
         rows.coalesce(1).write.mode("append").parquet(path)
         source = spark.readStream.schema(schema).parquet(path)
-        jobs.windowed_accuracy(source, f"{out}/rows", f"{out}/state", "1 hour", "10 minutes")
+        jobs.windowed_accuracy(source, f"{out}/rows", f"{out}/state", window="1 hour", lateness="10 minutes")
 
     arrive("2024-01-01 00:10:00", "2024-01-01 00:20:00", "2024-01-01 02:00:00")
     arrive("2024-01-01 00:30:00", "2024-01-01 04:00:00")  # the first of these is too late

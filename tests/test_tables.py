@@ -30,6 +30,20 @@ def test_append_is_by_name_and_fills_missing_columns(spark, table):
     assert (row["name"], row["recency"], row["score"], row["conversion"]) == ("Ann", 7, 0.5, None)
 
 
+def test_append_refuses_columns_that_the_table_lacks(spark, table):
+    name, location = table
+    tables.ensure_table(spark, name, tables.INTERACTIONS, location=location)
+    with pytest.raises(ValueError, match="recencyy"):
+        tables.append(spark.createDataFrame([(1,)], "recencyy int"), name)
+    assert spark.table(name).count() == 0
+
+
+def test_run_10_is_newer_than_run_9_at_the_same_time(spark):
+    runs = [("m", "n", "o", NOW, "x", f"run-{i}") for i in (9, 10, 2)]
+    entries = spark.createDataFrame(runs, registry.REGISTRY)
+    assert registry.latest(entries).first()["run_id"] == "run-10"
+
+
 def test_ensure_table_keeps_or_replaces(spark, table):
     name, location = table
     schema = registry.REGISTRY
@@ -149,6 +163,18 @@ def test_requests_with_missing_and_malformed_bodies(spark):
     rows = {r["request_id"]: r for r in parsed}
     assert (rows["1"]["recency"], rows["1"]["score"]) == (11.0, 0.766)
     assert rows["2"]["recency"] is None
+    assert (rows["1"]["error"], rows["2"]["error"]) == (None, "no JSON object")
+
+
+def test_requests_in_any_case_and_with_gaps(spark):
+    bodies = ['{"recency": 1, "SCORE": 2}', '{"Recency": 1, "score": "2"}', '{"RECENCY": 1}']
+    bodies += ['{"recency": "x", "score": 1}', "[1]", "", None]
+    df = spark.createDataFrame(list(enumerate(bodies)), "request_id int, body string")
+    got = {r["request_id"]: r for r in projection.parse_requests(df, ["recency", "score"]).collect()}
+    assert [(got[i]["recency"], got[i]["score"]) for i in (0, 1)] == [(1.0, 2.0)] * 2
+    assert [got[i]["error"] for i in range(4)] == [None, None, "no number for score", "no number for recency"]
+    assert all(got[i]["error"] == "no JSON object" and got[i]["score"] is None for i in (4, 6))
+    assert len(got) == len(bodies)
 
 
 def test_roles(spark, sf_dir):
