@@ -151,15 +151,30 @@ def _cumulative(df: DataFrame, score: str, label: str) -> DataFrame:
     )
 
 
-def roc_curve(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
-    """True and false positive rate at each distinct score."""
-    return _cumulative(df, score, label).select(
+def roc_curve(
+    df: DataFrame, score: str = "score", label: str = "label", origin: bool = False
+) -> DataFrame:
+    """True and false positive rate at each distinct score.
+
+    With ``origin``, the point (0, 0) that a plotted curve starts at comes too,
+    with a null threshold.
+    """
+    points = _cumulative(df, score, label).select(
         "threshold",
         "true_positives",
         "false_positives",
         F.round(_ratio(F.col("true_positives"), F.col("true_positives_total")), 6).alias("tpr"),
         F.round(_ratio(F.col("false_positives"), F.col("false_positives_total")), 6).alias("fpr"),
     )
+    if not origin:
+        return points
+    zero = points.sparkSession.range(1).select(
+        *[
+            F.lit(None if f.name == "threshold" else 0).cast(f.dataType).alias(f.name)
+            for f in points.schema
+        ]
+    )
+    return points.unionByName(zero)
 
 
 def auc_score(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from offerlift.operators.evaluation import require_binary
+from offerlift.operators.ordering import with_row_index
 
 
 def indexer(categorical: Sequence[str]) -> StringIndexer:
@@ -25,6 +26,20 @@ def indexer(categorical: Sequence[str]) -> StringIndexer:
     )
 
 
+def frequency_index(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``<column>_StringIndex``: rank of the value by frequency, then by value, from 0.
+
+    For columns with any number of values: nothing of them comes to the driver,
+    as the stage of ``indexer`` would do. Nulls stay null.
+    """
+    for c in columns:
+        counts = df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count("*").alias("__n"))
+        ranked = with_row_index(counts, [F.desc("__n"), c], name="__rank")
+        index = (F.col("__rank") - 1).cast("double").alias(f"{c}_StringIndex")
+        df = df.join(ranked.select(c, index), c, "left")
+    return df
+
+
 def encoder(categorical: Sequence[str]) -> OneHotEncoder:
     """One-hot vectors; the dropped last slot is that of unseen categories."""
     return OneHotEncoder(

@@ -380,7 +380,8 @@ def accuracy_drift(spark, sf_dir):
 @query
 def string_index(spark, sf_dir):
     df = interactions(spark, sf_dir, [ID, *BLOCK])
-    return features.indexer(BLOCK).fit(df).transform(df)
+    indexed = features.frequency_index(df, BLOCK)
+    return indexed.select(ID, *BLOCK, *[f"{c}_StringIndex" for c in BLOCK])
 
 
 def _newest(spark: SparkSession, sf_dir: str, n: int, labelled: bool = False) -> DataFrame:
@@ -609,7 +610,9 @@ def train_gbt(spark, sf_dir):
 @query
 def train_gbt_oversampled(spark, sf_dir):
     train, test = _split(spark, sf_dir)
-    model = training.fit_oversampled(train, training.boosted_trees(), ID, ["recency", "history"])
+    flags = ["used_discount", "used_bogo", "is_referral"]
+    trees = training.boosted_trees()
+    model = training.fit_oversampled(train, trees, ID, ["recency", "history"], flags=flags)
     return _judged(training.holdout_predictions(model, test, ID))
 
 

@@ -71,22 +71,27 @@ def fit_oversampled(
     k: int = 3,
     percentage_over: int = 400,
     percentage_under: int = 100,
+    flags: Sequence[str] = (),
 ) -> PipelineModel:
     """A classifier on scaled features of a rebalanced training set.
 
-    New minority rows lie between the feature vectors of rows that are close in
-    the ``near`` columns and equal in every category. Pass training rows only:
-    synthetic rows must not reach the rows a model is judged on.
+    New minority rows lie between the scaled feature vectors of rows that are
+    close in the ``near`` columns, standardised as in the vector, and equal in
+    every category and flag. Pass training rows only: synthetic rows must not
+    reach the rows a model is judged on.
     """
     rows = labelled(df)
     categorical, numeric = column_roles(rows.drop(key), "label")
     features = Pipeline(stages=feature_stages(categorical, numeric, scale=True)).fit(rows)
+    at = {f"{c}_scaled": numeric.index(c) - len(numeric) for c in near}
+    scaled = features.transform(rows).withColumn("__v", vector_to_array("scaledFeatures"))
+    scaled = scaled.withColumns({c: F.element_at("__v", i) for c, i in at.items()}).drop("__v")
     balanced = smote(
-        features.transform(rows),
+        scaled,
         key,
-        near,
+        list(at),
         ["scaledFeatures"],
-        categorical,
+        [*categorical, *flags],
         k,
         percentage_over=percentage_over,
         percentage_under=percentage_under,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-from offerlift.operators import evaluation, monitoring, neighbours
+from offerlift.operators import evaluation, features, monitoring, neighbours, sampling
 
 
 def test_unknown_metrics_get_a_column(spark):
@@ -26,3 +26,22 @@ def test_neighbours_refuse_nulls(spark, row):
 def test_area_of_one_class_is_null(spark):
     df = spark.createDataFrame([(1, 0.5), (1, 0.7), (1, None)], "label int, score double")
     assert evaluation.auc_score(df).first()["auc_score"] is None
+
+
+def test_a_plotted_curve_starts_at_the_origin(spark):
+    df = spark.createDataFrame([(1, 0.9), (0, 0.4)], "label int, score double")
+    points = evaluation.roc_curve(df, origin=True)
+    assert sorted((r["fpr"], r["tpr"]) for r in points.collect()) == [(0, 0), (0, 1), (1, 1)]
+    assert evaluation.roc_curve(df).count() == 2
+
+
+def test_frequency_index_keeps_nulls_and_ranks_ties_by_value(spark):
+    df = spark.createDataFrame([(i, c) for i, c in enumerate("bbaac") ] + [(9, None)], "id int, c string")
+    got = {r["id"]: r["c_StringIndex"] for r in features.frequency_index(df, ["c"]).collect()}
+    assert got == {0: 1.0, 1: 1.0, 2: 0.0, 3: 0.0, 4: 2.0, 9: None}
+
+
+def test_random_split_loses_nothing(spark):
+    first, second = sampling.random_split(spark.range(1000), 0.8)
+    assert first.union(second).distinct().count() == 1000
+    assert 700 < first.count() < 900
