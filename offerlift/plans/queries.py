@@ -774,8 +774,11 @@ def metrics_tail_unpivot(spark, sf_dir):
 def stream_ingest(spark, sf_dir):
     out = new_path(spark, "stream-ingest")
     orders = retail.read_stream(spark, sf_dir, "orders")
-    rows = interactions(spark, sf_dir, [ID, *FEATURES, "conversion"], orders)
-    jobs.ingest(rows, f"{out}/rows", f"{out}/state", "stream", _stamp())
+
+    def prepare(batch: DataFrame) -> DataFrame:
+        return interactions(spark, sf_dir, [ID, *FEATURES, "conversion"], batch, restrict=True)
+
+    jobs.ingest(orders, f"{out}/rows", f"{out}/state", "stream", _stamp(), prepare)
     return spark.read.parquet(f"{out}/rows").drop("epoch")
 
 
@@ -784,8 +787,13 @@ def stream_score(spark, sf_dir):
     model = training.fit_pipeline(_model_rows(spark, sf_dir), training.random_forest(), ID)
     out = new_path(spark, "stream-score")
     orders = retail.read_stream(spark, sf_dir, "orders")
-    rows = projection.as_label(interactions(spark, sf_dir, [ID, *FEATURES, "conversion"], orders))
-    jobs.score(rows, f"{out}/rows", f"{out}/state", lambda: model, scoring.prediction_columns)
+    columns = [ID, *FEATURES, "conversion"]
+
+    def prepare(batch: DataFrame) -> DataFrame:
+        return projection.as_label(interactions(spark, sf_dir, columns, batch, restrict=True))
+
+    select = scoring.prediction_columns
+    jobs.score(orders, f"{out}/rows", f"{out}/state", lambda: model, select, prepare)
     streamed = spark.read.parquet(f"{out}/rows").drop("epoch")
     batch = projection.as_label(interactions(spark, sf_dir, [ID, *FEATURES, "conversion"]))
     batch = scoring.prediction_columns(model.transform(batch))

@@ -107,7 +107,7 @@ def _line_flags(spark: SparkSession, sf_dir: str, only: DataFrame | None = None)
     lines = read(spark, sf_dir, "lineitem")
     if only is not None:
         keys = only.select(F.col("o_orderkey").alias("l_orderkey"))
-        lines = lines.join(F.broadcast(keys), "l_orderkey", "left_semi")
+        lines = lines.join(keys, "l_orderkey", "left_semi")
     return (
         lines.groupBy(F.col("l_orderkey").alias("o_orderkey"))
         .agg(
@@ -123,18 +123,20 @@ def interactions(
     columns: Sequence[str] | None = None,
     orders: DataFrame | None = None,
     few: bool = False,
+    restrict: bool = False,
 ) -> DataFrame:
     """Customer interactions with marketing offers, one row per order.
 
     ``orders`` may be a stream of orders; the other tables are static. If
-    ``orders`` is a bounded number of rows, ``few`` sends their keys to the scan
-    of the order lines, so that only these lines are aggregated.
+    ``orders`` is part of all orders, ``restrict`` aggregates only their lines;
+    if it is a bounded number of rows, ``few`` also sends their keys to the scan.
     """
     columns = list(columns or INTERACTION_COLUMNS)
     wanted = set(columns)
     rows = read(spark, sf_dir, "orders") if orders is None else orders
     if wanted & _FROM_LINES:
-        rows = rows.join(_line_flags(spark, sf_dir, rows if few else None), "o_orderkey", "left")
+        only = F.broadcast(rows) if few else rows if restrict else None
+        rows = rows.join(_line_flags(spark, sf_dir, only), "o_orderkey", "left")
     else:
         rows = rows.withColumns({"any_discount": F.lit(0), "any_bogo": F.lit(0)})
     if wanted & _FROM_CUSTOMER:
@@ -162,7 +164,7 @@ def interactions(
             F.col("o_orderstatus") != "P",
             F.when(hash_uniform("y", "o_orderkey") < response_rate, 1).otherwise(0),
         ),
-        "batch_id": F.md5(F.regexp_replace(F.left(F.col("o_orderdate").cast("string"), F.lit(7)), "-", "")),
+        "batch_id": F.md5(F.concat_ws("", F.split(F.left(iso_text(F.col("o_orderdate")), F.lit(7)), "-"))),
         "batch_tms": F.col("o_orderdate").cast("timestamp_ntz"),
     }
     return rows.select(*[derived[c].alias(c) if c in derived else F.col(c) for c in columns])

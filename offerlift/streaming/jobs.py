@@ -56,11 +56,21 @@ def _write_batch(batch: DataFrame, path: str, epoch: int) -> None:
 
 
 def ingest(
-    stream: DataFrame, path: str, state: str, batch_prefix: str, batch_tms: Column | None = None
+    stream: DataFrame,
+    path: str,
+    state: str,
+    batch_prefix: str,
+    batch_tms: Column | None = None,
+    prepare: Callable[[DataFrame], DataFrame] = lambda batch: batch,
 ) -> None:
-    """Arriving interactions, outcome unknown, one batch id per micro-batch."""
+    """Arriving interactions, outcome unknown, one batch id per micro-batch.
+
+    ``prepare`` makes interactions of a micro-batch, so that what it joins can be
+    restricted to the batch's keys.
+    """
 
     def handle(batch: DataFrame, epoch: int) -> None:
+        batch = prepare(batch)
         _write_batch(ingest_batch(batch, F.lit(f"{batch_prefix}-{epoch}"), batch_tms), path, epoch)
 
     _each_batch(stream, state, handle)
@@ -72,15 +82,16 @@ def score(
     state: str,
     model: Callable[[], PipelineModel],
     select: Callable[[DataFrame], DataFrame],
+    prepare: Callable[[DataFrame], DataFrame] = lambda batch: batch,
 ) -> None:
     """Predictions for arriving interactions.
 
     ``model`` is asked once per micro-batch, so a retrained model takes over
-    without a restart.
+    without a restart. ``prepare`` is as in ``ingest``.
     """
 
     def handle(batch: DataFrame, epoch: int) -> None:
-        _write_batch(select(model().transform(batch)), path, epoch)
+        _write_batch(select(model().transform(prepare(batch))), path, epoch)
 
     _each_batch(stream, state, handle)
 

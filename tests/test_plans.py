@@ -120,3 +120,15 @@ def test_no_local_checkpoints_collects_or_python_udfs_in_the_package():
                 text = open(os.path.join(folder, name)).read()
                 for word in FORBIDDEN:
                     assert word not in text, (name, word)
+
+
+def test_order_lines_are_restricted_before_they_are_aggregated(spark, sf_dir):
+    """Picking a few rows sends their keys to the scan of the lines."""
+    from offerlift.plans.queries import QUERIES
+
+    for name in ("peek", "latest_n", "latest_n_train", "sample_n", "ingest_batch"):
+        df = QUERIES[name](spark, sf_dir)
+        plan = df._jdf.queryExecution().optimizedPlan().toString().split("\n")
+        lines = [i for i, row in enumerate(plan) if "l_orderkey" in row and "Aggregate" in row]
+        joins = [i for i, row in enumerate(plan) if "Join LeftSemi" in row]
+        assert lines and any(j > lines[0] for j in joins), name
