@@ -185,4 +185,5 @@ def auc_score(df: DataFrame, score: str = "score", label: str = "label") -> Data
     above = F.col("true_positives") - F.col("positives") / 2
     area = F.sum(F.col("negatives").cast("double") * above)
     pairs = F.sum("positives").cast("double") * F.sum("negatives").cast("double")
-    return _cumulative(df, score, label).agg(F.round(F.try_divide(area, pairs), 6).alias("auc_score"))
+    auc = F.round(F.try_divide(area, pairs), 6)
+    return _cumulative(df, score, label).agg(auc.alias("auc_score"))

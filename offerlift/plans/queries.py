@@ -735,7 +735,8 @@ def retrain(spark, sf_dir):
         registry.save_ml(spark, unfitted, "spark_pipeline", root, table, "run-1", STAMP)
         later = STAMP + dt.timedelta(hours=1)
         scoring.retrain(spark, rows, table, root, "run-2", TRAIN_ROWS, now=later)
-        scored = scoring.score_batch(_newest(spark, sf_dir, 1000), registry.load_model(spark, table))
+        model = registry.load_model(spark, table)
+        scored = scoring.score_batch(_newest(spark, sf_dir, 1000), model)
         entries = spark.table(table).select("object_kind", "run_id", "training_time")
         return materialize(entries.withColumn("scored", F.lit(scored.count())))
 

@@ -164,7 +164,7 @@ def interactions(
             F.col("o_orderstatus") != "P",
             F.when(hash_uniform("y", "o_orderkey") < response_rate, 1).otherwise(0),
         ),
-        "batch_id": F.md5(F.concat_ws("", F.split(F.left(iso_text(F.col("o_orderdate")), F.lit(7)), "-"))),
+        "batch_id": F.md5(F.translate(F.left(iso_text(F.col("o_orderdate")), F.lit(7)), "-", "")),
         "batch_tms": F.col("o_orderdate").cast("timestamp_ntz"),
     }
     return rows.select(*[derived[c].alias(c) if c in derived else F.col(c) for c in columns])
