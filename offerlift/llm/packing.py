@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from offerlift.llm.texts import small_batches
+from offerlift.llm.texts import small_batches, tidy
 from offerlift.llm.tokens import MAX_TOKENS, _as_bytes, worker_cache
 from offerlift.sources.workspace import materialize
 
@@ -60,7 +60,7 @@ def pieces(docs: DataFrame, path: str, key: str, text: str, capacity: int) -> Da
             out.insert(0, key, frame.iloc[:, 0].iloc[out["row"]].array)
             yield out.drop(columns="row")
 
-    return _as_bytes(docs, key, text).mapInPandas(run, schema)
+    return _as_bytes(docs, key, text).mapInPandas(tidy(run), schema)
 
 
 def fullest_patterns(
@@ -169,4 +169,4 @@ def pack(
             frame["offset"] = table["offset"][at] + inside % table["uses"][at] * length
             yield frame.drop(columns="number")
 
-    return rows.select(*cut.columns, "number").mapInPandas(run, schema)
+    return rows.select(*cut.columns, "number").mapInPandas(tidy(run), schema)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from offerlift.llm.texts import small_batches, text_or_empty
+from offerlift.llm.texts import small_batches, text_or_empty, tidy
 from offerlift.llm.tokens import PieceTokenizer, worker_cache
 
 # Kinds of pieces and of models in the file format, the sign that
@@ -202,7 +202,7 @@ def encode(
             lists = pa.ListArray.from_arrays(pa.array(offsets.astype("<i4")), values)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], lists], [key, *keep, "ids"])
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidy(run), schema)
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids", name: str = "decoded") -> DataFrame:
@@ -223,4 +223,4 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", name: str = "decoded
             columns = [*batch.columns, pa.array(texts, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, name])
 
-    return encoded.mapInArrow(run, schema)
+    return encoded.mapInArrow(tidy(run), schema)

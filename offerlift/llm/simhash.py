@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from offerlift.llm.components import components
 from offerlift.llm.sketch import mark_possible
-from offerlift.llm.texts import small_batches, text_or_empty
+from offerlift.llm.texts import small_batches, text_or_empty, tidy
 from offerlift.sources.workspace import materialize
 
 SHINGLE = 4
@@ -67,7 +67,7 @@ def fingerprints(docs: DataFrame, key: str, text: str, shingle: int = SHINGLE) -
             yield pd.DataFrame({key: frame.iloc[:, 0], "bits": bits.view(np.int64)})
 
     small_batches(docs.sparkSession)
-    return docs.select(key, text_or_empty(text).alias("__text")).mapInPandas(run, schema)
+    return docs.select(key, text_or_empty(text).alias("__text")).mapInPandas(tidy(run), schema)
 
 
 def embedded(bits: Column) -> Column:
@@ -188,7 +188,7 @@ def links(distinct: DataFrame, distance: int = DISTANCE, kept: int | None = None
             yield linked(key, bits)
 
     sorted_meetings = met.repartition("meeting").sortWithinPartitions("meeting", "bits")
-    return sorted_meetings.mapInPandas(run, "a long, b long").distinct()
+    return sorted_meetings.mapInPandas(tidy(run), "a long, b long").distinct()
 
 
 def near_duplicates(

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from offerlift.llm.sketch import mark_possible
-from offerlift.llm.texts import small_batches, text_or_empty
+from offerlift.llm.texts import small_batches, text_or_empty, tidy
 from offerlift.sources.workspace import materialize
 
 #: Length of the strings that count as repeated.
@@ -44,7 +44,7 @@ SYMBOL = 16
 CROWD = 256
 _PART = 16
 _POSITIONS = WINDOW - GRAM + 1
-_MOST_BYTES = 1 << 20
+_MOST_BYTES = 1 << 19
 
 
 def suffix_array(symbols: Sequence[int]) -> list[int]:
@@ -385,7 +385,7 @@ def _found(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame,
         + [T.StructField("mark", T.LongType())]
     )
     long_texts = texts.where(F.col("n_bytes") >= WINDOW)
-    parsed = long_texts.select("sha", "text").mapInPandas(_parse, places).distinct()
+    parsed = long_texts.select("sha", "text").mapInPandas(tidy(_parse), places).distinct()
     parsed = materialize(parsed, "anchors")
     # Written, so that the join has plain shuffles on both sides and can split a hot mark.
     marks = materialize(parsed.groupBy("mark").agg(F.count("*").alias("n")).where("n > 1"), "marks")
@@ -401,20 +401,20 @@ def _found(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame,
     chosen = materialize(one.dropDuplicates(["sha"]), "texts")
 
     kinds = "sha binary, at int, key long, back int, context binary"
-    contexts = chosen.mapInPandas(_contexts, kinds)
+    contexts = chosen.mapInPandas(tidy(_contexts), kinds)
     contexts = contexts.withColumn("digest", F.xxhash64("context", "back"))
     distinct = contexts.groupBy("key", "digest", "back", "context")
     distinct = distinct.agg(F.count("*").alias("copies"))
     met = distinct.repartition("key").sortWithinPartitions("key", "digest")
     repeated = met.mapInPandas(
-        _compare, "key long, digest long, starts array<int>, ends array<int>"
+        tidy(_compare), "key long, digest long, starts array<int>, ends array<int>"
     )
     spans = contexts.select("sha", "at", "key", "digest").join(repeated, ["key", "digest"])
     spans = spans.groupBy("sha").agg(
         F.collect_list(F.struct("at", "starts", "ends")).alias("found")
     )
     cut = chosen.select("sha", "text").join(spans, "sha").mapInPandas(
-        _cut, "sha binary, n_removed long, n_spans long, kept_sha256 string, rest string"
+        tidy(_cut), "sha binary, n_removed long, n_spans long, kept_sha256 string, rest string"
     )
     return heads, known.where("rows > 1").select("sha", F.lit(True).alias("copied")), cut
 

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,3 +29,24 @@ def small_batches(spark: SparkSession) -> None:
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(name)) > BATCH_ROWS or int(spark.conf.get(name)) <= 0:
         spark.conf.set(name, BATCH_ROWS)
+
+
+def tidy(run):
+    """``run`` over the batches of a task, with its memory given back at the end.
+
+    Python workers outlive tasks, and what the allocators keep of one stage's
+    arrays would add to what the next stage needs.
+    """
+
+    @functools.wraps(run)
+    def task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return task

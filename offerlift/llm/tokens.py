@@ -26,13 +26,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from offerlift.llm.texts import small_batches, text_or_empty
+from offerlift.llm.texts import small_batches, text_or_empty, tidy
 
 MAX_TOKENS = 2048
 #: Entries of the broadcast table, of one task's summary, and of a worker's cache.
 FREQUENT = 32_768
 SUMMARY = 8_192
-CACHED = 200_000
+CACHED = 100_000
+#: Pre-tokens that the library is given at once.
+ENCODED = 4_000
 
 _SPACE = "▁".encode()
 _UNIT = re.compile(rb"(?:\xe2\x96\x81)+(?:(?!\xe2\x96\x81).)*", re.DOTALL)
@@ -118,7 +120,9 @@ class Cache(dict):
             self.clear()
             missing = wanted
         missing = list(missing)
-        self.update(zip(missing, map(self.form, self.tokens.encode(missing)), strict=True))
+        for at in range(0, len(missing), ENCODED):
+            part = missing[at : at + ENCODED]
+            self.update(zip(part, map(self.form, self.tokens.encode(part)), strict=True))
 
     def __missing__(self, pretoken: bytes):
         return self.first_tier[pretoken]
@@ -128,9 +132,10 @@ _caches: dict[tuple, Cache] = {}
 
 
 def worker_cache(path: str, form, first_tier: dict | None = None, make=tokenizer) -> Cache:
-    """The cache of this worker, which lives on from task to task."""
+    """The cache of this worker, which lives on from task to task of the same kind."""
     at = (path, form, make)
     if at not in _caches:
+        _caches.clear()
         _caches[at] = Cache(make(path), form)
     _caches[at].first_tier = first_tier or {}
     return _caches[at]
@@ -166,7 +171,7 @@ def frequent_pretokens(docs: DataFrame, path: str, text: str = "text") -> list[b
         yield pd.DataFrame({"pretoken": list(best), "n": list(best.values())})
 
     texts = docs.select(text_or_empty(text).cast("binary").alias("text"))
-    counts = texts.mapInPandas(count, "pretoken binary, n long").groupBy("pretoken")
+    counts = texts.mapInPandas(tidy(count), "pretoken binary, n long").groupBy("pretoken")
     counts = counts.agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "pretoken").limit(FREQUENT)
     return [bytes(r.pretoken) for r in counts.collect()]
 
@@ -210,5 +215,5 @@ def count_tokens(
                 }
             )
 
-    counted = _as_bytes(docs, key, text).mapInPandas(run, schema)
+    counted = _as_bytes(docs, key, text).mapInPandas(tidy(run), schema)
     return counted.withColumn("over_limit", F.col("n_tokens") > most)

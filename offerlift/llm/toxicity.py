@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from offerlift.llm.texts import small_batches, text_or_empty
+from offerlift.llm.texts import small_batches, text_or_empty, tidy
 from offerlift.sources.workspace import materialize
 
 #: Bound on the labelled rows that a model is fitted on.
@@ -48,8 +48,8 @@ THRESHOLD = 0.3
 BEGINNING = 5
 RANGE = 256
 _WORD = re.compile(r"\w+")
-_REMEMBERED = 50_000
-_REMEMBERED_WORDS = 200_000
+_REMEMBERED = 5_000
+_REMEMBERED_WORDS = 50_000
 
 
 def terms(text: str) -> tuple[Counter, int]:
@@ -237,7 +237,7 @@ def fit(
             )
 
     total, positive = rows.agg(F.count("*"), F.coalesce(F.sum("__label"), F.lit(0))).first()
-    used = rows.mapInPandas(count, "term string, n long, toxic long").groupBy("term")
+    used = rows.mapInPandas(tidy(count), "term string, n long, toxic long").groupBy("term")
     used = used.agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
     # Of the two-by-two table of term and label, in doubles: counts of four factors overflow.
     n, toxic = F.col("n").cast("double"), F.col("toxic").cast("double")
@@ -273,7 +273,7 @@ def fit(
             T.StructField("weights", T.ArrayType(T.DoubleType())),
         ]
     )
-    placed = rows.mapInPandas(place, schema).collect()
+    placed = rows.mapInPandas(tidy(place), schema).collect()
     return Index.build(idf, sorted((tuple(r) for r in placed), key=lambda r: str(r[0])))
 
 
@@ -308,7 +308,7 @@ def score(docs: DataFrame, index: Index, key: str = "doc_id", text: str = "text"
                 }
             )
 
-    return docs.select(key, text_or_empty(text).alias("__text")).mapInPandas(run, schema)
+    return docs.select(key, text_or_empty(text).alias("__text")).mapInPandas(tidy(run), schema)
 
 
 def without_toxic(
@@ -325,4 +325,4 @@ def without_toxic(
             scores = [shared.value.score(t or "", known, memory)[0] for t in texts]
             yield batch.filter(pa.array([s < threshold for s in scores], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
