@@ -40,8 +40,27 @@ _SPACE = "▁".encode()
 _UNIT = re.compile(rb"(?:\xe2\x96\x81)+(?:(?!\xe2\x96\x81).)*", re.DOTALL)
 
 
+# The steps of a lower-casing tokenizer by words, whose outcome for
+# plain words is known, and what such words are here: Latin-1 letters, then marks.
+_LOWER_STEPS = ["NFC", "Replace", "Lowercase"]
+_LOWER_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_PLAIN = re.compile(r"([a-zß-öø-ÿ]*)([,.;:!?#$%&*()-]*)")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The printable character that stands for each byte: itself, or one from 256 up."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 class WordTokenizer:
-    """A ``.json`` tokenizer that drops white space between words."""
+    """A ``.json`` tokenizer that drops white space between words.
+
+    The library prepares a text at length before it encodes it. Plain words in
+    lower case need none of that where the preparing steps are the known ones,
+    and go to its model directly.
+    """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -55,13 +74,43 @@ class WordTokenizer:
         pattern = re.sub(r"\[[^\]]*\]", "", split.get("pattern", {}).get("Regex", " "))
         if not breaks or re.search(r"\s|\\s", pattern):
             raise ValueError(f"{path}: its pre-tokens may span white space")
+        normal = (spec["normalizer"] or {}).get("normalizers", [])
+        self.direct = (
+            [n["type"] for n in normal] == _LOWER_STEPS
+            and [s["type"] for s in steps] == ["Split", "ByteLevel"]
+            and split["pattern"].get("Regex") == _LOWER_SPLIT
+            and not steps[1]["add_prefix_space"]
+            and not steps[1]["use_regex"]
+        )
+        self.model = self.library.model
+        self.letters = _byte_letters()
+        self.marks: dict[str, list[int]] = {"": []}
+
+    def _of_model(self, word: str) -> list[int]:
+        if not word.isascii():
+            word = "".join(map(self.letters.__getitem__, word.encode()))
+        return [t.id for t in self.model.tokenize(word)]
+
+    def _directly(self, word: str) -> list[int] | None:
+        """Ids of a plain word, else None."""
+        parts = _PLAIN.fullmatch(word.lower())
+        if parts is None:
+            return None
+        if parts[2] not in self.marks:
+            if len(self.marks) > 1000:
+                self.marks = {"": []}
+            self.marks[parts[2]] = self._of_model(parts[2])
+        return (self._of_model(parts[1]) if parts[1] else []) + self.marks[parts[2]]
 
     def pretokens(self, text: bytes) -> list[bytes]:
         return text.split()
 
     def encode(self, pretokens: list[bytes]) -> list[list[int]]:
         texts = [p.decode("utf-8", "replace") for p in pretokens]
-        return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        made = [self._directly(t) if self.direct else None for t in texts]
+        rest = [t for t, ids in zip(texts, made, strict=True) if ids is None]
+        found = iter(self.library.encode_batch_fast(rest, add_special_tokens=False))
+        return [next(found).ids if ids is None else ids for ids in made]
 
 
 class PieceTokenizer:

@@ -17,6 +17,8 @@ def texts():
     rng = random.Random(5)
     odd = [" ", " ", "\x1c", "\x85", "İ", "Σίσυφος ΣΑΣ", "é", "́", "<|endoftext|>"]
     odd += ["<|startoftext|>x", "it's", "don'T", "12ab", "$$$", "日本語", "🏳️‍🌈", "​", "ﬁ", "Å", "▁", "\0"]
+    odd += ["I\u0307", "\u212a", "\u212b", "Straße", "STRASSE", "ẞ", "naïve", "ÿÿ", "×", "÷", "end.", "(yes),"]
+    odd += ["#tag", "a-b", "x...", "...", "</w>", "ª", "º", "µ", "Ünïté!", "\xad", "<|", "|>"]
     odd += ["the", "a", " ", "  ", "\n", "\t\r\x0b\x0c", "…", "²½", "Ⅷ", "ß", "ǅ", "ĳ"]
     out = [None, "", " ", "\n\n", "<|endoftext|>", "a" * 3000, "word " * 9000, "é " * 2047, "é " * 2048]
     for _ in range(150):
@@ -114,3 +116,11 @@ def test_patterns_are_the_fullest(seed):
     for pattern, times in packing.fullest_patterns(counts, capacity):
         made += [tuple(n for n, uses in pattern for _ in range(uses))] * times
     assert made == brute_patterns(lengths, capacity)
+
+
+def test_plain_words_of_the_real_texts_equal_the_library(spark, sf_dir):
+    tokenizer = tokens.tokenizer(WORD)
+    assert tokenizer.direct
+    for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").collect():
+        ids = tokenizer.encode(tokenizer.pretokens(r.text.encode()))
+        assert [i for word in ids for i in word] == library(WORD, r.text)
