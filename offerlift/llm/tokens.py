@@ -32,7 +32,7 @@ MAX_TOKENS = 2048
 #: Entries of the broadcast table, of one task's summary, and of a worker's cache.
 FREQUENT = 32_768
 SUMMARY = 8_192
-CACHED = 100_000
+CACHED = 250_000
 #: Pre-tokens that the library is given at once.
 ENCODED = 4_000
 
@@ -103,6 +103,9 @@ class WordTokenizer:
         return (self._of_model(parts[1]) if parts[1] else []) + self.marks[parts[2]]
 
     def pretokens(self, text: bytes) -> list[bytes]:
+        # Both cases of a letter have the same ids, but for the names of special tokens.
+        if self.direct and b"<|" not in text:
+            text = text.lower()
         return text.split()
 
     def encode(self, pretokens: list[bytes]) -> list[list[int]]:
