@@ -13,8 +13,8 @@ with twice the cells and other hashes, at last by comparing its digests.
 The likeness is the number of paragraphs that both have over the number that
 either has, which the sizes and the difference give.
 
-A paragraph here is what ends with a full stop, question mark, exclamation mark
-or line break; a longer run is cut every 200 characters from its start.
+A paragraph ends with its line; a longer one is cut at the first end of a
+sentence after 200 characters, or after 400 where there is none.
 
 Everything is SQL expressions.
 """
@@ -26,7 +26,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-PARAGRAPH = r"[^.!?\n]{1,200}[.!?]*"
+PARAGRAPH = r"[^\n]{1,200}[^.!?\n]{0,200}[.!?]*"
 #: Cells of each of the three tables of a fingerprint, and of a block's first sketch.
 CELLS = 6
 BLOCK_CELLS = 8
@@ -64,10 +64,16 @@ def _placed(keys: str, cells: int, salt: int) -> str:
 
 
 def sketch(keys: str, cells: int, salt: int = 0) -> str:
-    """SQL for an array of cells ``n, x``."""
-    here = "filter(pl, e -> ci = e.p0 or ci = e.p1 or ci = e.p2)"
-    cell = f"aggregate({here}, struct(0 as n, 0L as x), (a, e) -> struct(a.n + 1 as n, a.x ^ e.k as x))"
-    return _let(_placed(keys, cells, salt), "pl", f"transform(sequence(0, {3 * cells - 1}), ci -> {cell})")
+    """SQL for an array of cells ``n, x``, those of the three tables one after another."""
+
+    def table(t: int) -> str:
+        here = f"filter(pl, e -> e.p{t} = ci)"
+        cell = "struct(size(fc) as n, aggregate(fc, 0L, (a, e) -> a ^ e.k) as x)"
+        places = f"sequence({t * cells}, {(t + 1) * cells - 1})"
+        return f"transform({places}, ci -> {_let(here, 'fc', cell)})"
+
+    tables = ", ".join(map(table, range(3)))
+    return _let(_placed(keys, cells, salt), "pl", f"concat({tables})")
 
 
 def _difference(first: str, second: str) -> str:

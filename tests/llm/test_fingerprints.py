@@ -82,7 +82,7 @@ def test_small_differences_peel_from_the_fingerprint(spark):
     for _ in range(30):
         a = [rng.getrandbits(40) for _ in range(200)]
         b = a[3:] + [rng.getrandbits(40)]
-        a, b = (". ".join(map(str, x)) for x in (a, b))
+        a, b = ("\n".join(map(str, x)) for x in (a, b))
         differing = len(paragraphs(a) ^ paragraphs(b))
         rows = spark.createDataFrame([(a, b)], "a string, b string")
         keys = [fingerprints.sketch(fingerprints.digests(c), fingerprints.CELLS) for c in "ab"]
