@@ -18,6 +18,9 @@ strings of 16-byte blocks from their anchor on, the suffix array over them puts
 those that share most next to each other, and a context that agrees too little
 with both neighbours for any window is done with. An exact check of the windows
 follows for the rest.
+
+No task gets more than ``CROWD`` unequal contexts under one key. Where there are
+more, only hashes of their single windows travel and Spark counts them.
 """
 
 from __future__ import annotations
@@ -40,7 +43,8 @@ WINDOW = 400
 #: Bytes under a minimizer hash; shorter common passages are never candidates.
 GRAM = 128
 SYMBOL = 16
-#: Anchors with more occurrences are told apart by their surroundings as well.
+#: Anchors with more occurrences are told apart by their surroundings as well, and
+#: keys with more unequal contexts by their single windows.
 CROWD = 256
 _PART = 16
 _POSITIONS = WINDOW - GRAM + 1
@@ -339,6 +343,21 @@ def _compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield done(pd.concat(held))
 
 
+def _windows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Contexts to a row for each of their windows: its start from the anchor and its hash."""
+    for frame in frames:
+        sizes = frame["context"].map(len).to_numpy(np.int64)
+        data = np.frombuffer(b"".join(frame["context"]), np.uint8)
+        hashes = substring_hashes(data, WINDOW)
+        windows = sizes - WINDOW + 1
+        owner = np.repeat(np.arange(len(frame)), windows)
+        place = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
+        rows = frame[["key", "digest", "copies"]].iloc[owner]
+        start = place - frame["back"].to_numpy()[owner]
+        window = hashes[(np.cumsum(sizes) - sizes)[owner] + place].view(np.int64)
+        yield rows.assign(start=start.astype(np.int32), window=window)
+
+
 def _united(starts, ends) -> list[tuple[int, int]]:
     spans: list[list[int]] = []
     for s, e in sorted(zip(starts, ends, strict=True)):
@@ -369,6 +388,43 @@ def _cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["sha", "n_removed", "n_spans", "kept_sha256", "rest"])
 
 
+def _keyed(chosen: DataFrame, crowded: bool) -> DataFrame:
+    """Contexts of the crowded anchors of ``chosen``, or of the others."""
+    some = chosen.withColumn("shared", F.filter("shared", lambda a: a["crowded"] == crowded))
+    kinds = "sha binary, at int, key long, back int, context binary"
+    contexts = some.where(F.size("shared") > 0).mapInPandas(tidy(_contexts), kinds)
+    return contexts.withColumn("digest", F.xxhash64("context", "back"))
+
+
+def _meeting(chosen: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Distinct contexts of the keys that have at most ``CROWD`` of them, and of the others."""
+
+    def distinct(contexts: DataFrame) -> DataFrame:
+        rows = contexts.groupBy("key", "digest", "back", "context")
+        return rows.agg(F.count("*").alias("copies"))
+
+    parts = materialize(distinct(_keyed(chosen, crowded=True)), "parts")
+    wide = parts.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > CROWD)
+    wide = materialize(wide.select("key", F.lit(True).alias("wide")), "wide")
+    marked = parts.join(wide, "key", "left")
+    few = distinct(_keyed(chosen, crowded=False))
+    few = few.unionByName(marked.where("wide is null").drop("wide"))
+    return few, marked.where("wide").drop("wide")
+
+
+def _counted(contexts: DataFrame) -> DataFrame:
+    """Repeated windows of contexts, by counts of window hashes; unequal ones never meet."""
+    kinds = "key long, digest long, copies long, start int, window long"
+    windows = contexts.mapInPandas(tidy(_windows), kinds)
+    twice = windows.groupBy("key", "window").agg(F.sum("copies").alias("n")).where("n > 1")
+    # Written, as the marks are: a window that all contexts have is a hot key of the join.
+    twice = materialize(twice.drop("n"), "windows")
+    spans = windows.join(twice, ["key", "window"]).groupBy("key", "digest")
+    spans = spans.agg(F.collect_list("start").alias("starts"))
+    ends = F.transform("starts", lambda s: s + F.lit(WINDOW))
+    return materialize(spans.withColumn("ends", ends), "counted")
+
+
 def _found(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Rows ``key, sha, n_bytes``; texts with copies; and ``sha`` with what is left of it."""
     small_batches(docs.sparkSession)
@@ -400,15 +456,12 @@ def _found(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame,
     one = one.where(F.col("key").eqNullSafe(F.col("first"))).select("sha", "text", "shared")
     chosen = materialize(one.dropDuplicates(["sha"]), "texts")
 
-    kinds = "sha binary, at int, key long, back int, context binary"
-    contexts = chosen.mapInPandas(tidy(_contexts), kinds)
-    contexts = contexts.withColumn("digest", F.xxhash64("context", "back"))
-    distinct = contexts.groupBy("key", "digest", "back", "context")
-    distinct = distinct.agg(F.count("*").alias("copies"))
-    met = distinct.repartition("key").sortWithinPartitions("key", "digest")
-    repeated = met.mapInPandas(
+    contexts = _keyed(chosen, crowded=False).unionByName(_keyed(chosen, crowded=True))
+    few, many = _meeting(chosen)
+    repeated = few.repartition("key").sortWithinPartitions("key", "digest").mapInPandas(
         tidy(_compare), "key long, digest long, starts array<int>, ends array<int>"
     )
+    repeated = repeated.unionByName(_counted(many))
     spans = contexts.select("sha", "at", "key", "digest").join(repeated, ["key", "digest"])
     spans = spans.groupBy("sha").agg(
         F.collect_list(F.struct("at", "starts", "ends")).alias("found")

@@ -69,6 +69,31 @@ def test_removed_bytes_equal_brute_force(spark, crowd, monkeypatch):
     assert got == want
 
 
+def test_unequal_contexts_of_one_key_meet_up_to_a_bound_only(spark, monkeypatch):
+    rng = random.Random(3)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(600))
+    rows = []
+    for i in range(60):
+        around = ["".join(rng.choice("klmnopq ") for _ in range(450)) for _ in range(2)]
+        # Half of the rows share up to five bytes more on each side.
+        near = passage if i % 2 else "stuvw"[i % 5 :] + passage + "stuvw"[: i % 5]
+        rows.append((i, around[0] + near + around[1]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(suffixes, "CROWD", 16)
+    met, split = [], suffixes._meeting
+
+    def meeting(chosen):
+        met.append(split(chosen))
+        return met[-1]
+
+    monkeypatch.setattr(suffixes, "_meeting", meeting)
+    got = sorted(map(tuple, suffixes.repeated_bytes(docs).collect()))
+    want = [(i, *b[:4]) for i, b in enumerate(brute([t for _, t in rows]))]
+    assert got == want
+    few, many = ({r.key: r["count"] for r in m.groupBy("key").count().collect()} for m in met[0])
+    assert few and max(few.values()) <= 16 < min(many.values())
+
+
 def test_texts_lose_what_repeats(spark):
     rows = [(i, t, i) for i, t in enumerate(texts())]
     docs = spark.createDataFrame(rows, "doc_id long, text string, context int")
