@@ -103,10 +103,13 @@ class WordTokenizer:
         return (self._of_model(parts[1]) if parts[1] else []) + self.marks[parts[2]]
 
     def pretokens(self, text: bytes) -> list[bytes]:
-        # Both cases of a letter have the same ids, but for the names of special tokens.
-        if self.direct and b"<|" not in text:
-            text = text.lower()
-        return text.split()
+        # Both cases of an ASCII letter have the same ids, but for the names of special
+        # tokens. Not so before a mark: some letters compose with it in lower case only.
+        if not self.direct or b"<|" in text:
+            return text.split()
+        if text.isascii():
+            return text.lower().split()
+        return [p.lower() if p.isascii() else p for p in text.split()]
 
     def encode(self, pretokens: list[bytes]) -> list[list[int]]:
         texts = [p.decode("utf-8", "replace") for p in pretokens]

@@ -51,6 +51,14 @@ def test_counts_equal_the_library(spark, monkeypatch, path, ids, cached):
     assert tokens.count_tokens(docs.limit(0), path).count() == 0
 
 
+@pytest.mark.parametrize("pair", ["H\u0331", "J\u030c", "T\u0308", "W\u030a", "Y\u030a"])
+def test_letters_that_compose_in_lower_case_only(pair):
+    made = tokens.tokenizer(WORD)
+    for text in (pair, f"THE {pair}az x{pair} (END)", f"a{pair.lower()} {pair}"):
+        ids = made.encode(made.pretokens(text.encode()))
+        assert [i for word in ids for i in word] == library(WORD, text)
+
+
 def test_small_cache_gives_the_same_ids():
     cache = tokens.Cache(tokens.tokenizer(WORD), tuple, size=7)
     for t in texts():
