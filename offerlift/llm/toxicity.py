@@ -33,11 +33,10 @@ from offerlift.sources.workspace import materialize
 
 #: Bound on the labelled rows that a model is fitted on.
 MAX_EXAMPLES = 20_000
-#: Bound on the vocabulary.
-MAX_TERMS = 2_000
-#: A term needs so many toxic examples, and so large a chi-square.
-MIN_SUPPORT = 5
-MIN_CHI2 = 50.0
+#: A term needs so many toxic examples, and a rate in toxic examples that is so many
+#: times its rate in the others. Neither moves with the number of examples.
+MIN_SUPPORT = 3
+MIN_RATIO = 6.0
 #: Votes are counted until so many examples have been met.
 NEIGHBOURS = 12
 #: Added to a neighbour's distance, one less its cosine, before it is inverted.
@@ -207,13 +206,15 @@ def fit(
     label: str = "toxic",
     max_examples: int = MAX_EXAMPLES,
     min_support: int = MIN_SUPPORT,
-    min_chi2: float = MIN_CHI2,
+    min_ratio: float = MIN_RATIO,
+    min_chi2: float = 0.0,
 ) -> Index:
     """The index over at most ``max_examples`` labelled rows, chosen by hash of the key.
 
     Held-out rows, null keys and null labels are left out; a key with several
     labels has the larger one. What comes to the driver is bounded by
-    ``max_examples`` short vectors and ``MAX_TERMS`` terms.
+    ``max_examples`` vectors and the terms of their toxic texts. ``min_chi2``
+    leaves out terms of a smaller chi-square as well.
     """
     small_batches(docs.sparkSession)
     known = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull() & ~held_out(key))
@@ -245,9 +246,9 @@ def fit(
     over = toxic * all_ - n * ones
     # Null where the term is in every example or all examples have one label.
     chi2 = F.try_divide(all_ * over * over, n * (all_ - n) * ones * (all_ - ones))
-    best = used.where((over > 0) & (toxic >= min_support)).withColumn("chi2", chi2)
-    best = best.where(F.col("chi2") >= min_chi2)
-    best = best.orderBy(F.desc("chi2"), "term").limit(MAX_TERMS).collect()
+    often = toxic * (all_ - ones) >= (n - toxic) * ones * min_ratio
+    best = used.where((over > 0) & often & (toxic >= min_support)).withColumn("chi2", chi2)
+    best = best.where(F.col("chi2") >= min_chi2).orderBy(F.desc("chi2"), "term").collect()
     idf = {
         r.term: (i + 1, math.log((1 + total) / (1 + r.n)) + 1) for i, r in enumerate(best)
     }

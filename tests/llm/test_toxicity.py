@@ -50,6 +50,16 @@ def test_scores_tell_held_out_rows_apart(scored):
     assert by_id[602].evidence and all(e % 5 == 0 for e in by_id[602].evidence)
 
 
+def test_production_values_find_terms_in_the_smallest_table(spark):
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    index = toxicity.fit(docs, labels)
+    assert index.idf
+    scores = {row.score for row in toxicity.score(docs, index).collect()}
+    assert len(scores) > 1 and max(scores) >= toxicity.THRESHOLD
+
+
 def test_held_out_rows_do_not_change_the_index(spark, scored):
     _, frame, labels, index = scored
     flipped = labels.selectExpr(
