@@ -13,8 +13,8 @@ with twice the cells and other hashes, at last by comparing its digests.
 The likeness is the number of paragraphs that both have over the number that
 either has, which the sizes and the difference give.
 
-A paragraph ends with its line; a longer one is cut at the first end of a
-sentence after 200 characters, or after 400 where there is none.
+A paragraph here is what ends with a full stop, question mark, exclamation mark
+or line break; a longer run is cut every 200 characters from its start.
 
 Everything is SQL expressions.
 """
@@ -26,7 +26,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-PARAGRAPH = r"[^\n]{1,200}[^.!?\n]{0,200}[.!?]*"
+PARAGRAPH = r"[^.!?\n]{1,200}[.!?]*"
 #: Cells of each of the three tables of a fingerprint, and of a block's first sketch.
 CELLS = 6
 BLOCK_CELLS = 8
@@ -182,9 +182,13 @@ def _bucket(key: Column, bounds: list[int]) -> Column:
     return F.coalesce(F.when(lower == 0, 0).otherwise(exact), F.lit(0)).cast("int")
 
 
-def with_next(rows: DataFrame, key: str, text: str, name: str) -> DataFrame:
+def with_next(
+    rows: DataFrame, key: str, text: str, name: str, others: dict[str, str] | None = None
+) -> DataFrame:
     """``rows`` with the text of the next row by ``key``, of the first row for the last.
 
+    ``others`` maps further columns that are taken from the next row to their names.
+
     Null keys come first, equal keys in the order of their texts. Rows are dealt
     to buckets that follow each other in key order, in one shuffle; the first
     rows of a bucket go to the one before as well. Buckets are about equal
@@ -216,7 +220,8 @@ def with_next(rows: DataFrame, key: str, text: str, name: str) -> DataFrame:
     order = Window.partitionBy("bucket").orderBy(
         F.col("copy") == 2, F.asc_nulls_first(key), F.col("copy") == 1, text
     )
-    return placed.withColumn(name, F.lead(text).over(order)).where("copy = 0").drop("bucket", "copy")
+    taken = {n: F.lead(c).over(order) for c, n in ({text: name} | (others or {})).items()}
+    return placed.withColumns(taken).where("copy = 0").drop("bucket", "copy")
 
 
 def fingerprint(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -230,15 +235,21 @@ def fingerprint(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     )
 
 
+def with_sketches(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """``rows`` with digests ``k_<column>`` and sketches ``s_<column>`` of text columns."""
+    rows = rows.select("*", *[F.expr(digests(c)).alias(f"k_{c}") for c in columns])
+    return rows.select("*", *[F.expr(sketch(f"k_{c}", CELLS)).alias(f"s_{c}") for c in columns])
+
+
 def compare(pairs: DataFrame, texts: dict[str, str]) -> DataFrame:
     """``pairs`` with the likeness of column ``text`` and each of the columns in ``texts``.
 
     ``texts`` maps a text column to the name of its likeness. Columns
-    ``fingerprint_<column>`` are added for all of them.
+    ``fingerprint_<column>`` are added for all of them. Digests ``k_<column>``
+    and sketches ``s_<column>`` that are there already are used.
     """
     columns = ["text", *texts]
-    rows = pairs.select("*", *[F.expr(digests(c)).alias(f"k_{c}") for c in columns])
-    rows = rows.select("*", *[F.expr(sketch(f"k_{c}", CELLS)).alias(f"s_{c}") for c in columns])
+    rows = with_sketches(pairs, [c for c in columns if f"s_{c}" not in pairs.columns])
     for c, name in texts.items():
         rows = with_difference(rows, "k_text", f"k_{c}", "s_text", f"s_{c}", f"d_{c}")
     likenesses = [
@@ -259,13 +270,15 @@ def edits(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     gives an empty one. A single row is its own next.
     """
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    rows = with_next(rows, "key", "text", "next")
+    # One sketch of each text; its neighbour takes it over.
+    rows = with_sketches(rows, ["text"])
+    rows = with_next(rows, "key", "text", "next", {"k_text": "k_next", "s_text": "s_next"})
     quarter = F.floor(F.length("text") / 4).cast("int")
     edited = F.concat(
         F.substring("text", F.lit(1), F.length("text") - quarter),
         F.substring("next", F.lit(1), quarter),
     )
-    rows = rows.select("key", "text", "next", edited.alias("edited"))
+    rows = rows.select("*", edited.alias("edited"))
     made = compare(rows, {"edited": "near_edited", "next": "near_next"})
     return made.select(
         F.col("key").alias(key),

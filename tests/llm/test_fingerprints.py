@@ -92,3 +92,10 @@ def test_small_differences_peel_from_the_fingerprint(spark):
         assert d in (differing, -1)
         solved += d >= 0
     assert solved >= 15
+
+
+def test_edited_short_texts_keep_their_likeness(spark):
+    texts = [" ".join(f"Sentence {i} of text {n} is here." for i in range(8)) for n in range(6)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = fingerprints.edits(docs).collect()
+    assert all(200 < r.n_chars < 300 and 0.3 < r.near_edited < 1 for r in rows)
