@@ -28,7 +28,7 @@ QUERIES: dict[str, Query] = {}
 
 ID = "interaction_id"
 NUMERIC = ["recency", "history", "used_discount", "used_bogo", "is_referral"]
-#: Newest labelled rows of the catalogue's retraining; the operator's default is 20,000.
+#: Newest labelled rows of ``latest_n_train``, fewer than the tables have.
 TRAIN_ROWS = 5000
 #: What the area under the curve of every fitted model has to exceed.
 LEAST_AUC = 0.6
@@ -727,14 +727,14 @@ def ml_save_load(spark, sf_dir):
 @query
 def retrain(spark, sf_dir):
     """Registry after a retraining, with the number of rows that the new model scored."""
-    rows = _newest(spark, sf_dir, TRAIN_ROWS, labelled=True)
+    rows = interactions(spark, sf_dir, [ID, *FEATURES, "conversion", "batch_tms"])
     sample = projection.as_label(projection.select_features(rows, [ID, *FEATURES]))
     unfitted = training.make_pipeline(sample, training.random_forest(), ID)
 
     def use(table: str, root: str) -> DataFrame:
         registry.save_ml(spark, unfitted, "spark_pipeline", root, table, "run-1", STAMP)
         later = STAMP + dt.timedelta(hours=1)
-        scoring.retrain(spark, rows, table, root, "run-2", TRAIN_ROWS, now=later)
+        scoring.retrain(spark, rows, table, root, "run-2", n=20_000, now=later)
         model = registry.load_model(spark, table)
         scored = scoring.score_batch(_newest(spark, sf_dir, 1000), model)
         entries = spark.table(table).select("object_kind", "run_id", "training_time")

@@ -113,3 +113,20 @@ def test_a_category_unseen_in_training_is_scored(spark):
     both = indexed.transform(train.union(new))
     vectors = encoder(["c"]).fit(indexed.transform(train)).transform(both)
     assert [list(r[0]) for r in vectors.select("c_ClassVect").collect()][-1] == [0.0, 0.0]
+
+
+def test_retrain_query_leaves_the_cut_to_the_operator(spark, sf_dir, monkeypatch):
+    from offerlift.plans import queries
+
+    class Stopped(Exception):
+        pass
+
+    def stop(spark, df, *args, n, **kwargs):
+        raise Stopped(df, n)
+
+    monkeypatch.setattr(queries.scoring, "retrain", stop)
+    with pytest.raises(Stopped) as stopped:
+        queries.QUERIES["retrain"](spark, sf_dir)
+    df, n = stopped.value.args
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").count()
+    assert n == 20_000 and df.count() >= 0.9 * orders
