@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerlift.llm import fingerprints, packing, pieces, pii, quality, secrets, simhash, suffixes, tokens, toxicity
+from offerlift.llm import (
+    fingerprints,
+    negatives,
+    packing,
+    pieces,
+    pii,
+    quality,
+    secrets,
+    simhash,
+    suffixes,
+    tokens,
+    topk,
+    toxicity,
+    variants,
+)
 from offerlift.llm.texts import documents, text_or_empty
 from offerlift.sources.workspace import new_path
 
@@ -164,3 +178,62 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.xxhash64("ids").alias("ids_xxh64"),
         (F.col("decoded") == F.col("text")).alias("round_trip"),
     )
+
+
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(documents(spark, sf_dir))
+
+
+def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+
+
+def _whole_vectors_sql(scale: int, columns: str = "vec_id") -> str:
+    return f"""
+  SELECT {columns}, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)) v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh row has a wrong label, as a classifier's mistakes would."""
+    moved = (F.col("label") + 1) % 10
+    label = F.when(F.col("vec_id") % 7 == 0, moved).otherwise(F.col("label"))
+    return negatives.hard_negatives(embeddings(spark, sf_dir), label)
+
+
+_LABEL = "CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END"
+ORACLES["op12_hard_negatives"] = f"""
+WITH vectors AS ({_whole_vectors_sql(256, f"vec_id, {_LABEL} l")} AND label IS NOT NULL),
+scores AS (
+  SELECT a.vec_id anchor_id, b.vec_id other, a.l = b.l same,
+    list_dot_product(a.v, b.v)::BIGINT score
+  FROM vectors a JOIN vectors b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positives AS (
+  SELECT anchor_id, other positive_id, score positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, positive_id, other negative_id, positive_score, score negative_score,
+  row_number() OVER (
+    PARTITION BY anchor_id, positive_id ORDER BY score DESC, other)::INTEGER "rank"
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) <= 5"""
+
+
+@query
+def op13_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(embeddings(spark, sf_dir))
+
+
+ORACLES["op13_exact_top_k"] = f"""
+WITH vectors AS ({_whole_vectors_sql(1024)}),
+scores AS (
+  SELECT a.vec_id query_id, b.vec_id, list_dot_product(a.v, b.v)::BIGINT score
+  FROM vectors a JOIN vectors b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id)
+SELECT query_id, vec_id, score,
+  row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER "rank"
+FROM scores
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 10"""
