@@ -12,12 +12,12 @@ alphabet of 90 characters has at most 8,100.
   words have.
 
 If two words are near and the last prefix gram of the first does not rank after
-that of the second, one of the first word's pivots is in the second one's
-prefix. So pivots are looked up in an index of prefixes. The edit lies to the
-left or to the right of the surviving gram, which limits its position: either
-both words go on alike from the gram to their end, or they are alike from their
-beginning to the gram. The equal half is the key of the index, so a key's words
-differ in the other half alone, and that is verified.
+that of the second, a pivot of the first word that the edit left whole is in the
+second one's prefix. So pivots are looked up in an index of prefixes. Where the
+edit is limits the gram's position: if it lies before the second pivot, both
+words go on alike from there to their end; if not, it lies behind the first pivot,
+and both are alike from their beginning to there. The equal half and the length
+of the other one are the key of the index. The words of a key are compared whole.
 
 A key with more than ``CROWD`` words is split by what the other halves have in
 common as well: a pattern with one character open, or with one character less.
@@ -109,34 +109,46 @@ def _pivots(places: list[int], cost: list[int]) -> tuple[int, int]:
     return best[1:]
 
 
-def _halves(rank: dict[str, tuple[int, int]]):
-    """Words to index rows and lookups; ``rank`` has rank and count of every gram."""
+def _grams(rank: dict[str, tuple[int, int]]):
+    """Words to prefixes and pivots; ``rank`` has rank and count of every gram."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = ["lookup", "side", "half", "rest", "wanted", "word", "last"]
+        names = ["word", "last", "prefix", "low", "high"]
         for frame in frames:
             rows = []
             for word in frame["word"]:
                 grams = [rank[word[i : i + 2]] for i in range(len(word) - 1)]
                 last = sorted(grams)[2][0]
                 prefix = [i for i, g in enumerate(grams) if g[0] <= last]
-                for i in prefix:
-                    rows.append((False, "R", word[i:], word[:i], None, word, last))
-                    rows.append((False, "L", word[: i + 2], word[i + 2 :], None, word, last))
-                for i in _pivots(prefix, [grams[i][1] for i in prefix]):
-                    for side, half, rest in (
-                        ("R", word[i:], word[:i]),
-                        ("L", word[: i + 2], word[i + 2 :]),
-                    ):
-                        for wanted in (len(rest) - 1, len(rest), len(rest) + 1):
-                            if wanted >= 0:
-                                rows.append((True, side, half, rest, wanted, word, last))
+                pivots = _pivots(prefix, [grams[i][1] for i in prefix])
+                rows.append((word, last, prefix, *pivots))
             if rows:
-                yield pd.DataFrame(rows, columns=names).astype({"wanted": "Int32"})
+                yield pd.DataFrame(rows, columns=names)
 
     return run
 
 
+def _keyed(rows: DataFrame, change: Column) -> DataFrame:
+    """``key, word, last, rest, change`` of words cut in a half of the key and a rest.
+
+    A ``cut`` of 0 or more begins the half, which ends the word; one below ends
+    the half, which begins the word. ``change`` is how much longer the rest of
+    the words looked for is.
+    """
+    ends = F.col("cut") >= 0
+    first = F.expr("substring(word, 1, abs(cut))")
+    second = F.expr("substring(word, abs(cut) + 1)")
+    rows = rows.withColumns(
+        {
+            "half": F.when(ends, second).otherwise(first),
+            "rest": F.when(ends, first).otherwise(second),
+        }
+    ).withColumn("change", change)
+    wanted = F.length("rest") + F.col("change")
+    key = F.xxhash64(ends, "half", wanted).alias("key")
+    return rows.where(wanted >= 0).select(key, "word", "last", "rest", "change")
+
+
 def _with_patterns(rows: DataFrame, change: Column) -> DataFrame:
     """A row for each pattern that the ``rest`` shares with the one it becomes.
 
@@ -161,47 +173,38 @@ def near_pairs(vocabulary: DataFrame) -> DataFrame:
     ranked = counts.orderBy("count", "gram").collect()  # one for each pair of letters at most
     rank = {r["gram"]: (i, r["count"]) for i, r in enumerate(ranked)}
     small_batches(spark)
-    kinds = "lookup boolean, side string, half string, rest string, wanted int"
-    kinds += ", word string, last int"
-    made = materialize(vocabulary.select("word").mapInPandas(tidy(_halves(rank)), kinds), "halves")
-    index = made.where("not lookup").select(
-        "side", "half", F.length("rest").alias("wanted"), "rest", "word", "last"
-    )
-    lookups = made.where("lookup").drop("lookup")
-    key = ["side", "half", "wanted"]
-    crowds = index.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") > CROWD)
-    crowds = materialize(crowds.select(*key, F.lit(True).alias("crowded")), "crowds")
+    kinds = "word string, last int, prefix array<int>, low int, high int"
+    made = materialize(vocabulary.select("word").mapInPandas(tidy(_grams(rank)), kinds), "grams")
+    cuts = F.expr("explode(concat(prefix, transform(prefix, i -> -(i + 2))))")
+    index = _keyed(made.select("word", "last", cuts.alias("cut")), F.lit(0))
+    looked = made.select("word", "last", F.expr("explode(array(high, -(low + 2)))").alias("cut"))
+    lookups = _keyed(looked, F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))))
+    crowds = index.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > CROWD)
+    crowds = materialize(crowds.select("key", F.lit(True).alias("crowded")), "crowds")
 
     def parted(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-        marked = rows.join(crowds, key, "left")
+        marked = rows.join(crowds, "key", "left")
         few = marked.where("crowded is null")
-        return few.drop("crowded"), marked.where("crowded").drop("crowded")
+        return few.select("key", "word", "last"), marked.where("crowded").drop("crowded")
 
     few_lookups, many_lookups = parted(lookups)
     few_index, many_index = parted(index)
 
     def met(found: DataFrame, shelf: DataFrame, on: list[str]) -> DataFrame:
-        other = shelf.select(
-            *[F.col(c).alias(f"i_{c}") for c in on],
-            F.col("rest").alias("i_rest"),
-            F.col("word").alias("i_word"),
-            F.col("last").alias("i_last"),
-        )
-        same = [F.col(c) == F.col(f"i_{c}") for c in on]
+        other = shelf.select(*on, F.col("word").alias("other"), F.col("last").alias("other_last"))
         # Either word may be the one that is looked up where the last grams are equal.
-        pairs = found.join(other, same).where("last <= i_last")
-        near = F.levenshtein("rest", "i_rest", 1) == 1
-        return pairs.where(near).select(
-            F.least("word", "i_word").alias("a"), F.greatest("word", "i_word").alias("b")
+        pairs = found.select(*on, "word", "last").join(other, on).where("last <= other_last")
+        near = pairs.where(F.levenshtein("word", "other", 1) == 1)
+        return near.select(
+            F.least("word", "other").alias("a"), F.greatest("word", "other").alias("b")
         )
 
-    change = F.col("wanted") - F.length("rest")
-    many_lookups = _with_patterns(many_lookups.withColumn("change", change), F.col("change"))
+    many_lookups = _with_patterns(many_lookups, F.col("change"))
     changes = F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1)))
     many_index = many_index.withColumn("change", changes)
     many_index = _with_patterns(many_index, -F.col("change"))
-    pairs = met(few_lookups, few_index, key)
-    pairs = pairs.unionByName(met(many_lookups, many_index, [*key, "change", "pattern"]))
+    pairs = met(few_lookups, few_index, ["key"])
+    pairs = pairs.unionByName(met(many_lookups, many_index, ["key", "change", "pattern"]))
     return pairs.distinct()
 
 
