@@ -227,6 +227,47 @@ synthetic as (
 """
 
 
+_NUMBERS = ("recency", "history", "used_discount", "used_bogo", "is_referral")
+_CATEGORIES = ("zip_code", "channel", "offer")
+
+
+def _slot(column: str) -> str:
+    """What a row adds to a squared distance by its category, one over the slot's variance."""
+    return f"""(select {column}, n * (n - 1.0::double) / (m * (n - m)) as w_{column} from (
+      select {column}, count(*) as m, sum(count(*)) over () as n from interactions group by 1))"""
+
+
+_vector_distance = " + ".join(
+    [f"case when a.{c} = b.{c} then 0 else a.w_{c} + b.w_{c} end" for c in _CATEGORIES]
+    + [f"(a.s_{c} - b.s_{c}) ** 2" for c in _NUMBERS]
+)
+SYNTHETIC_VECTORS = f"""
+scaled as (
+  select *, {", ".join(
+      f"({c} - avg({c}) over ()) / stddev_samp({c}) over () as s_{c}" for c in _NUMBERS)}
+  from interactions {" ".join(f"join {_slot(c)} using ({c})" for c in _CATEGORIES)}),
+minority as (select * from scaled where conversion = 1),
+pairs as (
+  select a.interaction_id, b.interaction_id as neighbour_id,
+         round({_vector_distance}, 9) as dist2
+  from minority a join minority b on a.interaction_id <> b.interaction_id),
+ranked as (
+  select *, row_number() over (partition by interaction_id order by dist2, neighbour_id) as rank
+  from pairs qualify rank <= 5),
+sizes as (select interaction_id, count(*) as size from ranked group by interaction_id),
+draws as (
+  select interaction_id, cast(copy as integer) as copy,
+         floor({u("smote-pick", _copy)} * size) + 1 as pick, {u("smote-gap", _copy)} as gap
+  from sizes, range(1, 3) as r(copy))
+select d.interaction_id, d.copy, r.neighbour_id, 1 as conversion, {", ".join(
+    f"round(m.s_{c} + gap * (b.s_{c} - m.s_{c}), 6) as {c}_scaled" for c in _NUMBERS)}
+from draws d
+join ranked r on r.interaction_id = d.interaction_id and r.rank = d.pick
+join minority m on m.interaction_id = d.interaction_id
+join minority b on b.interaction_id = r.neighbour_id
+"""
+
+
 def blocks(rows: str, group: str = "") -> str:
     partition = f"partition by {group}" if group else ""
     keys = f"{group}, " if group else ""
@@ -378,6 +419,15 @@ ORACLES = {
     "knn_minority_unblocked": over_interactions(
         f", {neighbours(3, '')} select interaction_id, rank, neighbour_id, dist2 from ranked"
     ),
+    "knn_vectors": """
+      with pairs as (
+        select a.vec_id, b.vec_id as neighbour_id, round(list_sum(list_transform(
+          list_zip(a.embedding, b.embedding), lambda p: (p[1]::double - p[2]::double) ** 2)), 9)
+            as dist2
+        from embeddings a join embeddings b on a.vec_id <> b.vec_id)
+      select vec_id, neighbour_id, round(dist2, 6) as dist2, cast(row_number() over (
+        partition by vec_id order by dist2, neighbour_id) as integer) as rank
+      from pairs qualify rank <= 5""",
     "class_balance": over_interactions(
         'select conversion, count(*) as "count" from interactions group by conversion'
     ),
@@ -473,6 +523,7 @@ ORACLES = {
         " from interactions"
     ),
     "smote": over_interactions(f", {SYNTHETIC} select * from synthetic"),
+    "smote_vector": over_interactions(f", {SYNTHETIC_VECTORS}"),
     "smote_union": over_interactions(
         f""", {SYNTHETIC}
         select interaction_id, 0 as copy, zip_code, channel, offer, recency::double as recency,

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from offerlift.functions import hashing, paths, timestamps
 from offerlift.operators import evaluation, features, monitoring, neighbours, ordering
-from offerlift.operators import profit, projection, sampling, smote as oversampling
+from offerlift.operators import pivots, profit, projection, sampling, smote as oversampling
 from offerlift.plans import scoring, training
 from offerlift.sources import files, registry, retail, tables
 from offerlift.sources.retail import BLOCK, FEATURES, interactions
@@ -294,6 +294,13 @@ def knn_minority_unblocked(spark, sf_dir):
     return neighbours.neighbour_rows(near, ID)
 
 
+@query
+def knn_vectors(spark, sf_dir):
+    table = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    near = neighbours.neighbour_rows(pivots.nearest_vectors(table, 5, "vec_id", "embedding"), "vec_id")
+    return _rounded(near, "dist2")
+
+
 # --- aggregations ------------------------------------------------------------
 
 
@@ -453,6 +460,17 @@ def smote_union(spark, sf_dir):
     return _rounded(balanced, "recency", "history", "score")
 
 
+@query
+def smote_vector(spark, sf_dir):
+    df = interactions(spark, sf_dir, [ID, *BLOCK, *NUMERIC, "conversion"])
+    scaled, _ = features.feature_pipeline(df, BLOCK, NUMERIC)
+    new = oversampling.synthetic_vectors(scaled, ID, "scaledFeatures", 5, label="conversion")
+    new = new.withColumn("v", vector_to_array("scaledFeatures"))
+    last = F.size("v") - len(NUMERIC)  # the one-hot slots come first
+    values = [F.round(F.col("v")[last + i], 6).alias(f"{c}_scaled") for i, c in enumerate(NUMERIC)]
+    return new.select(ID, "copy", "neighbour_id", *values, "conversion")
+
+
 # --- scalar functions --------------------------------------------------------
 
 
@@ -610,9 +628,7 @@ def train_gbt(spark, sf_dir):
 @query
 def train_gbt_oversampled(spark, sf_dir):
     train, test = _split(spark, sf_dir)
-    flags = ["used_discount", "used_bogo", "is_referral"]
-    trees = training.boosted_trees()
-    model = training.fit_oversampled(train, trees, ID, ["recency", "history"], flags=flags)
+    model = training.fit_oversampled(train, training.boosted_trees(), ID)
     return _judged(training.holdout_predictions(model, test, ID))
 
 
@@ -641,9 +657,13 @@ def cv_grid(spark, sf_dir):
 @query
 def cv_grid_boosted(spark, sf_dir):
     train, _ = _split(spark, sf_dir)
-    trees = training.boosted_trees()
     _, found = training.cross_validate(
-        train, trees, training.BOOSTED_GRID, ID, metric="accuracy"
+        train,
+        training.boosted_trees(),
+        training.BOOSTED_GRID,
+        ID,
+        metric="accuracy",
+        rebalance=lambda rows: training.rebalanced(rows, ID),
     )
     return _grid_rows(spark, found)
 

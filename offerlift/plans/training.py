@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import (
     BinaryClassificationEvaluator,
@@ -19,7 +19,7 @@ from pyspark.storagelevel import StorageLevel
 from offerlift.operators.features import feature_stages
 from offerlift.operators.projection import column_roles, labelled
 from offerlift.operators.sampling import fold_assign
-from offerlift.operators.smote import smote
+from offerlift.operators.smote import vector_smote
 from offerlift.sources.workspace import materialize
 
 # The columns the serving model reads, and its size.
@@ -63,41 +63,56 @@ def fit_serving_model(df: DataFrame) -> PipelineModel:
     return Pipeline(stages=stages).fit(labelled(df))
 
 
-def fit_oversampled(
-    df: DataFrame,
-    classifier,
-    key: str,
-    near: Sequence[str],
-    k: int = 3,
-    percentage_over: int = 400,
-    percentage_under: int = 100,
-    flags: Sequence[str] = (),
-) -> PipelineModel:
-    """A classifier on scaled features of a rebalanced training set.
+class Oversampled(Estimator):
+    """Fits a classifier on ``rebalance(rows)`` of the rows that it is given.
 
-    New minority rows lie between the scaled feature vectors of rows that are
-    close in the ``near`` columns, standardised as in the vector, and equal in
-    every category and flag. Pass training rows only: synthetic rows must not
-    reach the rows a model is judged on.
+    A grid search over folds gives it the training part of each fold and judges
+    the models on the other part as it is, so no synthetic row, and none made
+    from a row that is judged, reaches the rows that a model is judged on. All
+    grid points of a fold share one rebalanced set.
     """
-    rows = labelled(df)
-    categorical, numeric = column_roles(rows.drop(key), "label")
-    features = Pipeline(stages=feature_stages(categorical, numeric, scale=True)).fit(rows)
-    at = {f"{c}_scaled": numeric.index(c) - len(numeric) for c in near}
-    scaled = features.transform(rows).withColumn("__v", vector_to_array("scaledFeatures"))
-    scaled = scaled.withColumns({c: F.element_at("__v", i) for c, i in at.items()}).drop("__v")
-    balanced = smote(
-        scaled,
+
+    def __init__(self, classifier, rebalance: Callable[[DataFrame], DataFrame]):
+        super().__init__()
+        self.classifier, self.rebalance = classifier, rebalance
+
+    def _fit(self, dataset: DataFrame):
+        return self.classifier.fit(self.rebalance(dataset))
+
+    def fit(self, dataset: DataFrame, params=None):
+        return self.classifier.fit(self.rebalance(dataset), params)
+
+    def fitMultiple(self, dataset: DataFrame, paramMaps):
+        return self.classifier.fitMultiple(self.rebalance(dataset), paramMaps)
+
+
+def rebalanced(
+    df: DataFrame, key: str, k: int = 3, percentage_over: int = 400, percentage_under: int = 100
+) -> DataFrame:
+    """Rows with new minority rows between the scaled vectors of near ones, written once."""
+    made = vector_smote(
+        df,
         key,
-        list(at),
-        ["scaledFeatures"],
-        [*categorical, *flags],
+        "scaledFeatures",
         k,
         percentage_over=percentage_over,
         percentage_under=percentage_under,
     )
+    return training_rows(made.select(key, "scaledFeatures", "label"), key)
+
+
+def fit_oversampled(df: DataFrame, classifier, key: str, **balance) -> PipelineModel:
+    """A classifier on scaled features of a rebalanced training set.
+
+    New minority rows lie between the scaled feature vectors of rows that are
+    near in the whole vector; ``balance`` is as in ``rebalanced``. Pass training
+    rows only: synthetic rows must not reach the rows a model is judged on.
+    """
+    rows = labelled(df)
+    categorical, numeric = column_roles(rows.drop(key), "label")
+    features = Pipeline(stages=feature_stages(categorical, numeric, scale=True)).fit(rows)
     own = classifier.copy().setFeaturesCol("scaledFeatures")
-    fitted = own.fit(training_rows(balanced.select(key, "scaledFeatures", "label"), key))
+    fitted = own.fit(rebalanced(features.transform(rows), key, **balance))
     return PipelineModel(stages=[*features.stages, fitted])
 
 
@@ -124,19 +139,27 @@ def cross_validate(
     folds: int = 5,
     parallelism: int = 8,
     metric: str = "areaUnderROC",
+    rebalance: Callable[[DataFrame], DataFrame] | None = None,
 ) -> tuple[PipelineModel, CrossValidatorModel]:
     """The best model of the grid by mean ``metric`` over the folds, and the search.
 
     Features are fitted once on the training rows and kept while the grid runs,
-    so a candidate costs tree building only. Folds follow the row key.
+    so a candidate costs tree building only. Folds follow the row key. With
+    ``rebalance``, the features are scaled and every model is fitted on what it
+    makes of the training part of the fold (of all rows, for the best model),
+    with the columns ``key``, ``scaledFeatures`` and ``label``.
     """
     rows = labelled(df)
     categorical, numeric = column_roles(rows.drop(key), "label")
-    features = Pipeline(stages=feature_stages(categorical, numeric)).fit(rows)
-    prepared = fold_assign(features.transform(rows), key, folds).select("label", "features", "fold")
+    scale = rebalance is not None
+    features = Pipeline(stages=feature_stages(categorical, numeric, scale=scale)).fit(rows)
+    inputs = [key, "scaledFeatures"] if scale else ["features"]
+    prepared = fold_assign(features.transform(rows), key, folds).select("label", *inputs, "fold")
     prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
+    if scale:
+        classifier = classifier.copy().setFeaturesCol("scaledFeatures")
     search = CrossValidator(
-        estimator=classifier,
+        estimator=Oversampled(classifier, rebalance) if scale else classifier,
         estimatorParamMaps=param_grid(classifier, grid),
         evaluator=evaluator(metric),
         numFolds=folds,

@@ -4,6 +4,7 @@ import datetime as dt
 import uuid
 
 import pytest
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 
 from offerlift.operators.evaluation import auc_score
 from offerlift.operators.features import encoder, indexer
@@ -47,9 +48,7 @@ def test_grid_points_differ_and_the_best_is_kept(spark, split):
 
 def test_oversampled_model_scores_plain_rows(split):
     train, test = split
-    model = training.fit_oversampled(
-        train, training.boosted_trees(maxIter=3, maxDepth=2), ID, ["recency", "history"]
-    )
+    model = training.fit_oversampled(train, training.boosted_trees(maxIter=3, maxDepth=2), ID)
     scored = training.holdout_predictions(model, test, ID).cache()
     assert scored.count() == test.where("label is not null").count()
     assert auc_score(scored).first()["auc_score"] > 0.65
@@ -61,6 +60,35 @@ def test_oversampled_model_scores_plain_rows(split):
     assert found[1] > found[0]  # a rebalanced model dares to predict the minority
 
 
+def test_folds_are_judged_on_their_own_rows(split, monkeypatch):
+    """Rebalancing sees the training part of a fold; no synthetic row is validated."""
+    train, _ = split
+    seen, judged = [], []
+
+    def rebalance(rows):
+        made = training.rebalanced(rows, ID)
+        seen.append(({r[0] for r in rows.select(ID).collect()}, made.count(), rows.count()))
+        return made
+
+    class Recording(MulticlassClassificationEvaluator):
+        def evaluate(self, dataset, params=None):
+            judged.append([(r[0], r[1]) for r in dataset.select(ID, "scaledFeatures").collect()])
+            return super().evaluate(dataset, params)
+
+    monkeypatch.setattr(training, "evaluator", lambda metric: Recording(labelCol="label"))
+    grid = {"maxIter": [1], "maxDepth": [1, 2]}
+    model, _ = training.cross_validate(
+        train, training.boosted_trees(), grid, ID, folds=2, parallelism=1, rebalance=rebalance
+    )
+    known = {r[0] for r in train.where("label is not null").select(ID).collect()}
+    assert len(seen) == 3 and len(judged) == 4  # once a fold, and once for the best model
+    for i, validated in enumerate(judged):
+        ids = [r[0] for r in validated]
+        assert len(ids) == len(set(ids)) and set(ids) == known - seen[i // 2][0]
+    assert all(made > given for _, made, given in seen)
+    assert training.holdout_predictions(model, train, ID).count() == len(known)
+
+
 def test_boosted_grid_is_bound(split):
     gbt = training.boosted_trees()
     grid = training.param_grid(gbt, training.BOOSTED_GRID)
