@@ -10,7 +10,7 @@ followed by its children's prefixes. Then one scan from the least suffix up puts
 every suffix at the front of its group behind the suffix that follows its prefix.
 
 ``repeated_bytes`` applies it to a corpus. A text is parsed by minimizers: the
-anchor of a 400-byte window is the position of the least hash of ``GRAM`` bytes
+anchor of a window of ``window`` bytes is the position of the least hash of ``gram`` bytes
 in it, so equal windows have equal anchors at equal offsets. The windows that
 have one position as their anchor form its context. Only contexts whose anchor
 hash occurs twice travel, equal contexts as one row. In a task, contexts become
@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator, Sequence
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -47,7 +48,6 @@ SYMBOL = 16
 #: keys with more unequal contexts by their single windows.
 CROWD = 256
 _PART = 16
-_POSITIONS = WINDOW - GRAM + 1
 _MOST_BYTES = 1 << 19
 
 
@@ -165,20 +165,20 @@ def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(backward[:n], forward[width - 1 : width - 1 + n])
 
 
-def anchors(texts: list[bytes]):
+def anchors(texts: list[bytes], window: int = WINDOW, gram: int = GRAM):
     """``text number, anchor, first window, last window, hash`` arrays."""
     sizes = np.array([len(t) for t in texts], np.int64)
     data = np.frombuffer(b"".join(texts), np.uint8)
     none = np.empty(0, np.int64)
-    if len(data) < WINDOW:
+    if len(data) < window:
         return none, none, none, none, none
     starts = np.cumsum(sizes) - sizes
     owner = np.repeat(np.arange(len(texts)), sizes)
-    hashes = substring_hashes(data, GRAM)
+    hashes = substring_hashes(data, gram)
     # The upper half of a hash, then the position: the leftmost of equal hashes wins.
     ranked = (hashes >> np.uint64(32) << np.uint64(32)) | np.arange(len(hashes), dtype=np.uint64)
-    at = (_sliding_least(ranked, _POSITIONS) & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    windows = np.flatnonzero(owner[: len(at)] == owner[WINDOW - 1 : WINDOW - 1 + len(at)])
+    at = (_sliding_least(ranked, window - gram + 1) & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    windows = np.flatnonzero(owner[: len(at)] == owner[window - 1 : window - 1 + len(at)])
     if not len(windows):
         return none, none, none, none, none
     at = at[windows]
@@ -201,16 +201,16 @@ def _in_parts(sizes: list[int]) -> Iterator[slice]:
         yield slice(start, len(sizes))
 
 
-def _parse(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _parse(frames: Iterator[pd.DataFrame], window: int, gram: int) -> Iterator[pd.DataFrame]:
     for frame in frames:
         texts = [t.encode("utf-8", "replace") for t in frame["text"]]
         for part in _in_parts([len(t) for t in texts]):
-            text, at, low, high, mark = anchors(texts[part])
+            text, at, low, high, mark = anchors(texts[part], window, gram)
             sha = frame["sha"].to_numpy()[part][text]
             yield pd.DataFrame({"sha": sha, "at": at, "low": low, "high": high, "mark": mark})
 
 
-def _contexts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _contexts(frames: Iterator[pd.DataFrame], window: int) -> Iterator[pd.DataFrame]:
     """Rows of texts with their shared anchors to rows of contexts.
 
     A context is keyed by its anchor's hash. Those of a crowded anchor are cut
@@ -225,15 +225,15 @@ def _contexts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for a in shared:
                 at, low, high, mark, crowded = a["at"], a["low"], a["high"], a["mark"], a["crowded"]
                 if not crowded:
-                    rows.append((sha, at, mark, at - low, data[low : high + WINDOW]))
+                    rows.append((sha, at, mark, at - low, data[low : high + window]))
                     continue
                 while low <= high:
                     to = min(high, at + ((low - at) // _PART + 1) * _PART - 1)
                     side = (to - at) // _PART
-                    core = data[at + side * _PART + _PART - 1 : at + side * _PART + WINDOW]
+                    core = data[at + side * _PART + _PART - 1 : at + side * _PART + window]
                     key = hashlib.blake2b(core, digest_size=8, salt=str(side).encode()).digest()
                     key = int.from_bytes(key, "little", signed=True)
-                    rows.append((sha, at, key, at - low, data[low : to + WINDOW]))
+                    rows.append((sha, at, key, at - low, data[low : to + window]))
                     low = to + 1
                 if len(rows) > 4000:
                     yield pd.DataFrame(rows, columns=names)
@@ -244,7 +244,7 @@ def _contexts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=names)
 
 
-def _promising(keys: list[int], backs: list[int], contexts: list[bytes]) -> np.ndarray:
+def _promising(backs: list[int], contexts: list[bytes], window: int) -> np.ndarray:
     """Contexts that agree enough with a neighbour in suffix order."""
     blocks = [
         [c[i : i + SYMBOL] for i in range(max(b, 0), len(c) - SYMBOL + 1, SYMBOL)]
@@ -269,10 +269,12 @@ def _promising(keys: list[int], backs: list[int], contexts: list[bytes]) -> np.n
             common += 1
         agree[a], agree[b] = max(agree[a], common), max(agree[b], common)
     # The first window reaches least far to the right of the anchor.
-    return (agree + 1) * SYMBOL > WINDOW - np.array(backs)
+    return (agree + 1) * SYMBOL > window - np.array(backs)
 
 
-def _spans(keys: list[int], backs: list[int], contexts: list[bytes], copies: list[int]):
+def _spans(
+    keys: list[int], backs: list[int], contexts: list[bytes], copies: list[int], window: int
+):
     """Repeated bytes of each context, as starts and ends counted from its anchor."""
     n = len(keys)
     found: list[tuple[list[int], list[int]]] = [([], []) for _ in range(n)]
@@ -285,17 +287,15 @@ def _spans(keys: list[int], backs: list[int], contexts: list[bytes], copies: lis
     chosen = [i for i in range(n) if crowd[i] and keys[i] in groups_to_do]
     if not chosen:
         return found
-    keep = _promising(
-        [keys[i] for i in chosen], [backs[i] for i in chosen], [contexts[i] for i in chosen]
-    )
+    keep = _promising([backs[i] for i in chosen], [contexts[i] for i in chosen], window)
     chosen = [i for i, k in zip(chosen, keep.tolist(), strict=True) if k]
     if not chosen:
         return found
     sizes = np.array([len(contexts[i]) for i in chosen], np.int64)
     data = np.frombuffer(b"".join(contexts[i] for i in chosen), np.uint8)
-    hashes = substring_hashes(data, WINDOW)
+    hashes = substring_hashes(data, window)
     starts = np.cumsum(sizes) - sizes
-    windows = sizes - WINDOW + 1
+    windows = sizes - window + 1
     owner = np.repeat(np.arange(len(chosen)), windows)
     place = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
     hashes = hashes[starts[owner] + place]
@@ -313,17 +313,17 @@ def _spans(keys: list[int], backs: list[int], contexts: list[bytes], copies: lis
         i = chosen[owner[f]]
         if copies[i] == 1:
             found[i][0].append(int(place[f]) - backs[i])
-            found[i][1].append(int(place[t]) + WINDOW - backs[i])
+            found[i][1].append(int(place[t]) + window - backs[i])
     return found
 
 
-def _compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _compare(frames: Iterator[pd.DataFrame], window: int) -> Iterator[pd.DataFrame]:
     """Distinct contexts in key order to those with repeated bytes."""
     names = ["key", "back", "context", "copies"]
 
     def done(rows: pd.DataFrame) -> pd.DataFrame:
         lists = [rows[c].tolist() for c in names]
-        spans = _spans(*lists)
+        spans = _spans(*lists, window)
         out = pd.DataFrame({"key": rows["key"], "digest": rows["digest"]})
         out["starts"], out["ends"] = [s[0] for s in spans], [s[1] for s in spans]
         return out[[bool(s[0]) for s in spans]]
@@ -343,19 +343,19 @@ def _compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield done(pd.concat(held))
 
 
-def _windows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _windows(frames: Iterator[pd.DataFrame], window: int) -> Iterator[pd.DataFrame]:
     """Contexts to a row for each of their windows: its start from the anchor and its hash."""
     for frame in frames:
         sizes = frame["context"].map(len).to_numpy(np.int64)
         data = np.frombuffer(b"".join(frame["context"]), np.uint8)
-        hashes = substring_hashes(data, WINDOW)
-        windows = sizes - WINDOW + 1
+        hashes = substring_hashes(data, window)
+        windows = sizes - window + 1
         owner = np.repeat(np.arange(len(frame)), windows)
         place = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
         rows = frame[["key", "digest", "copies"]].iloc[owner]
         start = place - frame["back"].to_numpy()[owner]
-        window = hashes[(np.cumsum(sizes) - sizes)[owner] + place].view(np.int64)
-        yield rows.assign(start=start.astype(np.int32), window=window)
+        marks = hashes[(np.cumsum(sizes) - sizes)[owner] + place].view(np.int64)
+        yield rows.assign(start=start.astype(np.int32), window=marks)
 
 
 def _united(starts, ends) -> list[tuple[int, int]]:
@@ -388,51 +388,55 @@ def _cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["sha", "n_removed", "n_spans", "kept_sha256", "rest"])
 
 
-def _keyed(chosen: DataFrame, crowded: bool) -> DataFrame:
+def _keyed(chosen: DataFrame, crowded: bool, window: int) -> DataFrame:
     """Contexts of the crowded anchors of ``chosen``, or of the others."""
     some = chosen.withColumn("shared", F.filter("shared", lambda a: a["crowded"] == crowded))
     kinds = "sha binary, at int, key long, back int, context binary"
-    contexts = some.where(F.size("shared") > 0).mapInPandas(tidy(_contexts), kinds)
+    contexts = some.where(F.size("shared") > 0).mapInPandas(
+        tidy(partial(_contexts, window=window)), kinds
+    )
     return contexts.withColumn("digest", F.xxhash64("context", "back"))
 
 
-def _meeting(chosen: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _meeting(chosen: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
     """Distinct contexts of the keys that have at most ``CROWD`` of them, and of the others."""
 
     def distinct(contexts: DataFrame) -> DataFrame:
         rows = contexts.groupBy("key", "digest", "back", "context")
         return rows.agg(F.count("*").alias("copies"))
 
-    parts = materialize(distinct(_keyed(chosen, crowded=True)), "parts")
+    parts = materialize(distinct(_keyed(chosen, True, window)), "parts")
     wide = parts.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > CROWD)
     wide = materialize(wide.select("key", F.lit(True).alias("wide")), "wide")
     marked = parts.join(wide, "key", "left")
-    few = distinct(_keyed(chosen, crowded=False))
+    few = distinct(_keyed(chosen, False, window))
     few = few.unionByName(marked.where("wide is null").drop("wide"))
     return few, marked.where("wide").drop("wide")
 
 
-def _counted(contexts: DataFrame) -> DataFrame:
+def _counted(contexts: DataFrame, window: int) -> DataFrame:
     """Repeated windows of contexts, by counts of window hashes; unequal ones never meet."""
     kinds = "key long, digest long, copies long, start int, window long"
-    windows = contexts.mapInPandas(tidy(_windows), kinds)
+    windows = contexts.mapInPandas(tidy(partial(_windows, window=window)), kinds)
     twice = windows.groupBy("key", "window").agg(F.sum("copies").alias("n")).where("n > 1")
     # Written, as the marks are: a window that all contexts have is a hot key of the join.
     twice = materialize(twice.drop("n"), "windows")
     spans = windows.join(twice, ["key", "window"]).groupBy("key", "digest")
     spans = spans.agg(F.collect_list("start").alias("starts"))
-    ends = F.transform("starts", lambda s: s + F.lit(WINDOW))
+    ends = F.transform("starts", lambda s: s + F.lit(window))
     return materialize(spans.withColumn("ends", ends), "counted")
 
 
-def _found(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _found(
+    docs: DataFrame, key: str, text: str, window: int, gram: int
+) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Rows ``key, sha, n_bytes``; texts with copies; and ``sha`` with what is left of it."""
     small_batches(docs.sparkSession)
     texts = docs.select(F.col(key).alias("key"), text_or_empty(text).alias("text"))
     texts = texts.select("key", "text", F.unhex(F.sha2("text", 256)).alias("sha"))
     texts = texts.withColumn("n_bytes", F.octet_length("text").cast("long"))
     heads = materialize(texts.select("key", "sha", "n_bytes"), "heads")
-    known = heads.where(F.col("n_bytes") >= WINDOW).groupBy("sha")
+    known = heads.where(F.col("n_bytes") >= window).groupBy("sha")
     known = known.agg(F.min("key").alias("first"), F.count("*").alias("rows"))
 
     places = T.StructType(
@@ -440,9 +444,11 @@ def _found(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame,
         + [T.StructField(c, T.IntegerType()) for c in ("at", "low", "high")]
         + [T.StructField("mark", T.LongType())]
     )
-    long_texts = texts.where(F.col("n_bytes") >= WINDOW)
-    parsed = long_texts.select("sha", "text").mapInPandas(tidy(_parse), places).distinct()
-    parsed = materialize(parsed, "anchors")
+    long_texts = texts.where(F.col("n_bytes") >= window)
+    parsed = long_texts.select("sha", "text").mapInPandas(
+        tidy(partial(_parse, window=window, gram=gram)), places
+    )
+    parsed = materialize(parsed.distinct(), "anchors")
     # Written, so that the join has plain shuffles on both sides and can split a hot mark.
     marks = materialize(parsed.groupBy("mark").agg(F.count("*").alias("n")).where("n > 1"), "marks")
     shared = parsed.join(marks, "mark").withColumn("crowded", F.col("n") > CROWD)
@@ -456,12 +462,13 @@ def _found(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame,
     one = one.where(F.col("key").eqNullSafe(F.col("first"))).select("sha", "text", "shared")
     chosen = materialize(one.dropDuplicates(["sha"]), "texts")
 
-    contexts = _keyed(chosen, crowded=False).unionByName(_keyed(chosen, crowded=True))
-    few, many = _meeting(chosen)
+    contexts = _keyed(chosen, False, window).unionByName(_keyed(chosen, True, window))
+    few, many = _meeting(chosen, window)
     repeated = few.repartition("key").sortWithinPartitions("key", "digest").mapInPandas(
-        tidy(_compare), "key long, digest long, starts array<int>, ends array<int>"
+        tidy(partial(_compare, window=window)),
+        "key long, digest long, starts array<int>, ends array<int>",
     )
-    repeated = repeated.unionByName(_counted(many))
+    repeated = repeated.unionByName(_counted(many, window))
     spans = contexts.select("sha", "at", "key", "digest").join(repeated, ["key", "digest"])
     spans = spans.groupBy("sha").agg(
         F.collect_list(F.struct("at", "starts", "ends")).alias("found")
@@ -472,20 +479,27 @@ def _found(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame,
     return heads, known.where("rows > 1").select("sha", F.lit(True).alias("copied")), cut
 
 
-def repeated_bytes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def repeated_bytes(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    window: int = WINDOW,
+    gram: int = GRAM,
+) -> DataFrame:
     """``key, n_bytes, n_removed, n_spans, kept_sha256`` of every row of ``docs``.
 
-    Bytes covered by a 400-byte string that starts anywhere else too, in this
-    text or another, are removed; rows with equal texts of 400 bytes or more
-    lose all of them. A null text is empty. Repeated rows are copies of each
+    Bytes covered by a string of ``window`` bytes that starts anywhere else too,
+    in this text or another, are removed; rows with equal texts of that length
+    or more lose all of them. ``gram``, at most ``window``, changes the work and
+    not the result. A null text is empty. Repeated rows are copies of each
     other. Null keys are allowed, other columns are ignored, an empty table
     gives an empty one.
     """
-    heads, copied, cut = _found(docs, key, text)
+    heads, copied, cut = _found(docs, key, text, window, gram)
     cut = cut.drop("rest")
     facts = copied.join(cut, "sha", "full_outer")
-    rows = heads.where(F.col("n_bytes") >= WINDOW).join(facts, "sha", "left")
-    rows = rows.unionByName(heads.where(F.col("n_bytes") < WINDOW), allowMissingColumns=True)
+    rows = heads.where(F.col("n_bytes") >= window).join(facts, "sha", "left")
+    rows = rows.unionByName(heads.where(F.col("n_bytes") < window), allowMissingColumns=True)
     all_gone = F.coalesce("copied", F.lit(False))
     empty = hashlib.sha256(b"").hexdigest()
 
@@ -501,12 +515,20 @@ def repeated_bytes(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     )
 
 
-def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def without_repeats(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    window: int = WINDOW,
+    gram: int = GRAM,
+) -> DataFrame:
     """``docs`` with its repeated bytes removed from ``text``, all other columns as they are.
 
-    Where a cut goes through a character, the rest of that character goes too.
+    Nulls, repeated rows and empty tables are as in ``repeated_bytes``; a text
+    without a repeat stays as it is, a null too. Where a cut goes through a
+    character, the rest of that character goes too.
     """
-    _, copied, cut = _found(docs, key, text)
+    _, copied, cut = _found(docs, key, text, window, gram)
     facts = copied.join(cut.select("sha", F.col("rest").alias("__rest")), "sha", "full_outer")
     facts = facts.select(
         F.col("sha").alias("__sha"),

@@ -25,7 +25,8 @@ def plain_stages(rows, index):
     classes = test_simhash.brute_components(prints, 4)
     kept = [r for r, c in zip(kept, classes, strict=True) if r[0] == c]
     yield kept
-    cut = [b[4].decode("utf-8", "ignore") for b in test_suffixes.brute([r[1] for r in kept])]
+    cut = test_suffixes.brute([r[1] for r in kept], corpus_pipeline.PASSAGE)
+    cut = [b[4].decode("utf-8", "ignore") for b in cut]
     kept = [(r[0], t, *r[2:4], len(t)) for r, t in zip(kept, cut, strict=True)]
     yield kept
     hidden = [test_pii.brute(r[1]) for r in kept]

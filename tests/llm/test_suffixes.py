@@ -69,6 +69,15 @@ def test_removed_bytes_equal_brute_force(spark, crowd, monkeypatch):
     assert got == want
 
 
+@pytest.mark.parametrize("window, gram", [(204, 64), (100, 100)])
+def test_other_lengths_equal_brute_force(spark, window, gram):
+    rows = list(enumerate(texts()))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = suffixes.repeated_bytes(docs, window=window, gram=gram).collect()
+    brute_rows = brute([t for _, t in rows], window)
+    assert sorted(map(tuple, found)) == [(i, *b[:4]) for i, b in enumerate(brute_rows)]
+
+
 def test_unequal_contexts_of_one_key_meet_up_to_a_bound_only(spark, monkeypatch):
     rng = random.Random(3)
     passage = "".join(rng.choice("abcdefgh ") for _ in range(600))
@@ -82,8 +91,8 @@ def test_unequal_contexts_of_one_key_meet_up_to_a_bound_only(spark, monkeypatch)
     monkeypatch.setattr(suffixes, "CROWD", 16)
     met, split = [], suffixes._meeting
 
-    def meeting(chosen):
-        met.append(split(chosen))
+    def meeting(chosen, window):
+        met.append(split(chosen, window))
         return met[-1]
 
     monkeypatch.setattr(suffixes, "_meeting", meeting)
