@@ -17,6 +17,10 @@ from offerlift.sources.workspace import materialize, provide_folder
 
 #: No SQL twin: hashes, suffixes and token ids are not to be had in SQL.
 ORACLE_SQL = None
+#: Bytes of a passage that counts as repeated: 51 words of three letters, with spaces.
+PASSAGE = 204
+#: Bytes under one hash in the search for them.
+PASSAGE_GRAM = 64
 
 
 def _counted(docs: DataFrame) -> DataFrame:
@@ -36,8 +40,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the strings that occur anywhere else."""
-    return _counted(suffixes.without_repeats(docs))
+    """Texts without the passages that occur anywhere else, null texts as they are."""
+    cut = suffixes.without_repeats(docs, window=PASSAGE, gram=PASSAGE_GRAM)
+    return _counted(cut)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
