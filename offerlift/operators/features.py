@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from offerlift.operators.evaluation import require_binary
 from offerlift.operators.ordering import with_row_index
+from offerlift.sources.workspace import materialize
 
 
 def indexer(categorical: Sequence[str]) -> StringIndexer:
@@ -30,13 +31,21 @@ def frequency_index(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``<column>_StringIndex``: rank of the value by frequency, then by value, from 0.
 
     For columns with any number of values: nothing of them comes to the driver,
-    as the stage of ``indexer`` would do. Nulls stay null.
+    as the stage of ``indexer`` would do. All columns are counted in one pass
+    over ``df`` and ranked together, as text. Nulls stay null.
     """
+    entries = [
+        F.struct(F.lit(c).alias("__column"), F.col(c).cast("string").alias("__value"))
+        for c in columns
+    ]
+    values = df.select(F.inline(F.array(*entries))).where("__value is not null")
+    counts = values.groupBy("__column", "__value").agg(F.count("*").alias("__n"))
+    order = [F.desc("__n"), F.col("__value")]
+    ranked = materialize(with_row_index(counts, order, ["__column"], "__rank"), "ranks")
     for c in columns:
-        counts = df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count("*").alias("__n"))
-        ranked = with_row_index(counts, [F.desc("__n"), c], name="__rank")
         index = (F.col("__rank") - 1).cast("double").alias(f"{c}_StringIndex")
-        df = df.join(ranked.select(c, index), c, "left")
+        ranks = ranked.where(F.col("__column") == c).select(F.col("__value").alias("__key"), index)
+        df = df.join(ranks, F.col(c).cast("string") == F.col("__key"), "left").drop("__key")
     return df
 
 

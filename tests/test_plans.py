@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from offerlift.operators import evaluation, monitoring, projection, sampling
+from offerlift.operators.features import frequency_index
 from offerlift.operators.neighbours import nearest_neighbours
 from offerlift.operators.ordering import latest_n
 from offerlift.operators.profit import profit_curve
@@ -132,3 +133,10 @@ def test_order_lines_are_restricted_before_they_are_aggregated(spark, sf_dir):
         lines = [i for i, row in enumerate(plan) if "l_orderkey" in row and "Aggregate" in row]
         joins = [i for i, row in enumerate(plan) if "Join LeftSemi" in row]
         assert lines and any(j > lines[0] for j in joins), name
+
+
+def test_all_columns_are_ranked_from_one_count(stored):
+    """What is joined is the source, read once, and the written ranks of each column."""
+    text = plan(frequency_index(stored, ["zip_code", "channel", "offer"]))
+    assert text.count("FileScan parquet") == 1 + 3
+    assert "Aggregate" not in text
