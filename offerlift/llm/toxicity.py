@@ -2,8 +2,10 @@
 
 A text is a TF-IDF vector over a vocabulary of words and word beginnings that
 labelled toxic texts use more than others, plus one dimension for all of its
-other words. Its score is the distance-weighted vote of the labelled vectors
-nearest to it by exact cosine.
+other words. The labelled vectors nearest to it by exact cosine cast a
+distance-weighted vote. Its score is the share of toxic examples among fitted
+examples of that vote, each of which was voted on by the others: an isotonic
+regression learns the map from vote to share, so the threshold is a probability.
 
 The examples lie in an inverted index whose postings are cut into ranges of
 vector numbers. Each range keeps, for each term, the largest weight in it, so
@@ -18,12 +20,13 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from itertools import compress
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,6 +47,8 @@ NEAR = 0.05
 #: Weight of the overall rate of label 1 in every vote; an equal vector has 20.
 PRIOR = 2.0
 THRESHOLD = 0.3
+#: Share of the vote itself in a score, which keeps texts of one calibrated value in order.
+VOTE_SHARE = 0.01
 BEGINNING = 5
 RANGE = 256
 _WORD = re.compile(r"\w+")
@@ -106,6 +111,8 @@ class Index:
     toxic: np.ndarray
     example: list
     rate: float
+    votes: np.ndarray = field(default_factory=lambda: np.empty(0))
+    shares: np.ndarray = field(default_factory=lambda: np.empty(0))
 
     @classmethod
     def build(cls, idf, rows) -> Index:
@@ -177,6 +184,28 @@ class Index:
                 near, place = near[:last], place[:last]
         return list(zip(near.tolist(), place.tolist(), strict=True))
 
+    def vote(self, near: list[tuple[float, int]], own: int | None = None) -> float:
+        """The distance-weighted share of label 1 among neighbours.
+
+        ``own`` is the label of the example that was asked about, which is then left
+        out; as the nearest to itself it stands first.
+        """
+        near_by = [(s / (NEAR + max(0.0, 1 - s)), i) for s, i in near]
+        votes = sum(w * self.count[i] for w, i in near_by)
+        for_it = sum(w * self.toxic[i] for w, i in near_by)
+        rate = self.rate
+        if own is not None:
+            votes, for_it = votes - near_by[0][0], for_it - near_by[0][0] * own
+            total = int(self.count.sum())
+            rate = (rate * total - own) / (total - 1) if total > 1 else 0.0
+        return min(1.0, max(0.0, float((for_it + PRIOR * rate) / (votes + PRIOR))))
+
+    def calibrated(self, vote: float) -> float:
+        if not len(self.votes):
+            return vote
+        share = float(np.interp(vote, self.votes, self.shares))
+        return (1 - VOTE_SHARE) * share + VOTE_SHARE * vote
+
     def score(self, text: str, known: Known, memory: dict, k: int = NEIGHBOURS):
         """Score of ``text`` and keys of its nearest examples; ``memory`` has earlier results."""
         numbers, weights = vector(text, known)
@@ -185,11 +214,8 @@ class Index:
             if len(memory) >= _REMEMBERED:
                 memory.clear()
             near = self.nearest(numbers, weights, k)
-            near_by = [(s / (NEAR + max(0.0, 1 - s)), i) for s, i in near]
-            votes = sum(w * self.count[i] for w, i in near_by)
-            for_it = sum(w * self.toxic[i] for w, i in near_by)
-            value = (for_it + PRIOR * self.rate) / (votes + PRIOR)
-            memory[at] = (min(1.0, max(0.0, float(value))), [self.example[i] for _, i in near[:3]])
+            value = self.calibrated(self.vote(near))
+            memory[at] = (value, [self.example[i] for _, i in near[:3]])
         return memory[at]
 
 
@@ -212,9 +238,10 @@ def fit(
     """The index over at most ``max_examples`` labelled rows, chosen by hash of the key.
 
     Held-out rows, null keys and null labels are left out; a key with several
-    labels has the larger one. What comes to the driver is bounded by
-    ``max_examples`` vectors and the terms of their toxic texts. ``min_chi2``
-    leaves out terms of a smaller chi-square as well.
+    labels has the larger one. Without any example every score is 0. What comes
+    to the driver is bounded by ``max_examples`` vectors, the terms of their toxic
+    texts and the steps of the map from votes to scores. ``min_chi2`` leaves out
+    terms of a smaller chi-square as well.
     """
     small_batches(docs.sparkSession)
     known = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull() & ~held_out(key))
@@ -274,8 +301,32 @@ def fit(
             T.StructField("weights", T.ArrayType(T.DoubleType())),
         ]
     )
-    placed = rows.mapInPandas(tidy(place), schema).collect()
-    return Index.build(idf, sorted((tuple(r) for r in placed), key=lambda r: str(r[0])))
+    placed = materialize(rows.mapInPandas(tidy(place), schema), "vectors")
+    examples = sorted((tuple(r) for r in placed.collect()), key=lambda r: str(r[0]))
+    index = Index.build(idf, examples)
+    if examples:
+        index.votes, index.shares = _calibration(placed, index)
+    return index
+
+
+def _calibration(placed: DataFrame, index: Index) -> tuple[np.ndarray, np.ndarray]:
+    """Votes and shares of toxic examples, rising, from each example's vote by the others."""
+    shared = placed.sparkSession.sparkContext.broadcast(index)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        index = shared.value
+        for frame in frames:
+            votes = []
+            for own, numbers, weights in frame.itertuples(index=False):
+                near = index.nearest(tuple(numbers), np.asarray(weights), NEIGHBOURS + 1)
+                votes.append(round(index.vote(near, own), 12))
+            yield pd.DataFrame({"label": frame["label"].astype(float), "vote": votes})
+
+    spread = placed.repartition(F.xxhash64("key")).select("label", "terms", "weights")
+    votes = spread.mapInPandas(tidy(run), "label double, vote double")
+    votes = materialize(votes, "votes")
+    model = IsotonicRegression(featuresCol="vote", labelCol="label").fit(votes)
+    return model.boundaries.toArray(), model.predictions.toArray()
 
 
 def score(docs: DataFrame, index: Index, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -68,6 +68,7 @@ def test_held_out_rows_do_not_change_the_index(spark, scored):
     other = toxicity.fit(frame, flipped, min_support=3, min_chi2=20.0)
     assert other.idf == index.idf and other.example == index.example
     assert np.array_equal(other.toxic, index.toxic)
+    assert np.array_equal(other.votes, index.votes) and np.array_equal(other.shares, index.shares)
 
 
 @pytest.mark.parametrize("size", [1, 4, 64])
@@ -100,6 +101,66 @@ def test_neighbours_equal_the_full_search(monkeypatch, size):
         assert all(abs(cosine[i] - s) < 1e-9 for s, i in got)
 
 
+def dense(index, numbers, weights):
+    full = np.zeros(len(index.idf) + 1)
+    full[list(numbers)] = weights
+    return full
+
+
+def plain_vote(rows, query, rate):
+    """The vote of the twelve nearest rows ``(vector, label)`` and of all as near as the last."""
+    cosine = np.array([v @ query for v, _ in rows])
+    least = max(np.sort(cosine)[::-1][: toxicity.NEIGHBOURS][-1] - 1e-9, 1e-12)
+    near = [(c, y) for c, (_, y) in zip(cosine, rows, strict=True) if c >= least]
+    weights = [c / (toxicity.NEAR + max(0.0, 1 - c)) for c, _ in near]
+    for_it = sum(w * y for w, (_, y) in zip(weights, near, strict=True))
+    return (for_it + toxicity.PRIOR * rate) / (sum(weights) + toxicity.PRIOR)
+
+
+def test_scores_and_their_map_equal_brute_force(scored):
+    docs, frame, labels, index = scored
+    toxic = {}
+    for key, y in [tuple(r) for r in labels.collect()]:
+        if key is not None and y is not None and zlib.crc32(str(key).encode()) % 4 != 2:
+            toxic[key] = max(y, toxic.get(key, 0))
+    texts = {key: text for key, text, _ in docs if key in toxic}
+    known = toxicity.Known(index.idf)
+    rows = [(dense(index, *toxicity.vector(t, known)), toxic[k]) for k, t in texts.items()]
+    positive, n = sum(y for _, y in rows), len(rows)
+    votes = []
+    for i, (query, y) in enumerate(rows):
+        votes.append(plain_vote(rows[:i] + rows[i + 1 :], query, (positive - y) / (n - 1)))
+    # Pooling adjacent violators over equal votes.
+    pools = []
+    for vote in sorted(set(np.round(votes, 9))):
+        ys = [y for v, (_, y) in zip(votes, rows, strict=True) if round(v, 9) == vote]
+        pools.append([sum(ys), len(ys), vote, vote])
+        while len(pools) > 1 and pools[-2][0] * pools[-1][1] >= pools[-1][0] * pools[-2][1]:
+            s, c, _, last = pools.pop()
+            pools[-1] = [pools[-1][0] + s, pools[-1][1] + c, pools[-1][2], last]
+    at = [v for _, _, first, last in pools for v in (first, last)]
+    share = [s / c for s, c, _, _ in pools for _ in range(2)]
+    for vote in np.linspace(0, 1, 101):
+        want = (1 - toxicity.VOTE_SHARE) * np.interp(vote, at, share) + toxicity.VOTE_SHARE * vote
+        assert abs(index.calibrated(vote) - want) < 1e-6
+    got = {r.doc_id: r.score for r in toxicity.score(frame, index).collect()}
+    for key, text, _ in docs[:80]:
+        query = dense(index, *toxicity.vector(text or "", known))
+        assert abs(got[key] - index.calibrated(plain_vote(rows, query, positive / n))) < 1e-6
+
+
+def test_a_score_is_a_share_of_toxic_texts(spark):
+    """Most held-out toxic texts reach the threshold, few others do."""
+    folder = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    labels = spark.read.parquet(f"{folder}/labels.parquet").where("toxic is not null")
+    scores = toxicity.score(docs, toxicity.fit(docs, labels))
+    held = scores.join(labels, "doc_id").where(toxicity.held_out()).collect()
+    caught = [r.score >= toxicity.THRESHOLD for r in held if r.toxic]
+    alarms = [r.score >= toxicity.THRESHOLD for r in held if not r.toxic]
+    assert np.mean(caught) >= 0.9 and np.mean(alarms) <= 0.03
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     labels = spark.createDataFrame([], "doc_id long, toxic int")
