@@ -324,8 +324,11 @@ def _calibration(placed: DataFrame, index: Index) -> tuple[np.ndarray, np.ndarra
 
     spread = placed.repartition(F.xxhash64("key")).select("label", "terms", "weights")
     votes = spread.mapInPandas(tidy(run), "label double, vote double")
-    votes = materialize(votes, "votes")
-    model = IsotonicRegression(featuresCol="vote", labelCol="label").fit(votes)
+    # The regression sends equal votes to one task, so they arrive as one weighted row.
+    equal = votes.groupBy("vote").agg(F.avg("label").alias("label"), F.count("*").alias("n"))
+    equal = materialize(equal.withColumn("n", F.col("n").cast("double")), "votes")
+    regression = IsotonicRegression(featuresCol="vote", labelCol="label", weightCol="n")
+    model = regression.fit(equal)
     return model.boundaries.toArray(), model.predictions.toArray()
 
 
