@@ -153,7 +153,7 @@ def registry_append(spark, sf_dir):
     try:
         registry.register(runs.where(F.col("object_kind") != "sklearn_model"), table)
         registry.register(runs, table)  # runs already there are not added twice
-        return materialize(spark.table(table))
+        return materialize(registry.registered(spark, table))
     finally:
         spark.sql(f"DROP TABLE {table}")
 
@@ -757,7 +757,8 @@ def retrain(spark, sf_dir):
         scoring.retrain(spark, rows, table, root, "run-2", n=20_000, now=later)
         model = registry.load_model(spark, table)
         scored = scoring.score_batch(_newest(spark, sf_dir, 1000), model)
-        entries = spark.table(table).select("object_kind", "run_id", "training_time")
+        entries = registry.registered(spark, table)
+        entries = entries.select("object_kind", "run_id", "training_time")
         return materialize(entries.withColumn("scored", F.lit(scored.count())))
 
     return _with_registry(spark, use)
@@ -791,6 +792,19 @@ def metrics_tail_unpivot(spark, sf_dir):
 # --- streams -----------------------------------------------------------------
 
 
+def _into_table(
+    spark: SparkSession, out: str, schema: T.StructType, job: Callable[[str], None]
+) -> DataFrame:
+    """What ``job`` wrote to a new stream table, read back through the catalog."""
+    table = _table_name("stream", out)
+    tables.ensure_stream_table(spark, table, schema, f"{out}/rows")
+    try:
+        job(table)
+        return materialize(spark.table(table).drop(*tables.ORIGIN))
+    finally:
+        spark.sql(f"DROP TABLE {table}")
+
+
 @query
 def stream_ingest(spark, sf_dir):
     out = new_path(spark, "stream-ingest")
@@ -799,8 +813,13 @@ def stream_ingest(spark, sf_dir):
     def prepare(batch: DataFrame) -> DataFrame:
         return interactions(spark, sf_dir, [ID, *FEATURES, "conversion"], batch, restrict=True)
 
-    jobs.ingest(orders, f"{out}/rows", f"{out}/state", "stream", _stamp(), prepare)
-    return spark.read.parquet(f"{out}/rows").drop("epoch")
+    rows = prepare(retail.read(spark, sf_dir, "orders"))
+    schema = projection.ingest_batch(rows, F.lit(""), _stamp()).schema
+
+    def job(table: str) -> None:
+        jobs.ingest(orders, table, f"{out}/state", "stream", _stamp(), prepare)
+
+    return _into_table(spark, out, schema, job)
 
 
 @query
@@ -813,9 +832,18 @@ def stream_score(spark, sf_dir):
     def prepare(batch: DataFrame) -> DataFrame:
         return projection.as_label(interactions(spark, sf_dir, columns, batch, restrict=True))
 
-    select = scoring.prediction_columns
-    jobs.score(orders, f"{out}/rows", f"{out}/state", lambda: model, select, prepare)
-    streamed = spark.read.parquet(f"{out}/rows").drop("epoch")
+    def use(registered: str, root: str) -> DataFrame:
+        registry.save_ml(spark, model, "spark_model", root, registered, "run-1", STAMP)
+        newest = registry.newest_model(spark, registered)
+        select = scoring.prediction_columns
+
+        def job(table: str) -> None:
+            jobs.score(orders, table, f"{out}/state", "scores", newest, select, prepare)
+
+        schema = select(model.transform(prepare(retail.read(spark, sf_dir, "orders")))).schema
+        return _into_table(spark, out, schema, job)
+
+    streamed = _with_registry(spark, use)
     batch = projection.as_label(interactions(spark, sf_dir, [ID, *FEATURES, "conversion"]))
     batch = scoring.prediction_columns(model.transform(batch))
     return _disagreements(batch, streamed, scoring.PREDICTION_COLUMNS)

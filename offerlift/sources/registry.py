@@ -1,9 +1,15 @@
-"""Model registry, model lineage and saved Spark ML objects."""
+"""Model registry, model lineage and saved Spark ML objects.
+
+The registry table is a log that writers append to without a lock. Two writers
+that register one run at the same time both find it missing and both add it;
+``registered`` therefore gives the entry that was stamped first of each run, and
+everything that reads a registry reads it that way.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +28,14 @@ REGISTRY = T.StructType(
         T.StructField("run_id", T.StringType()),
     ]
 )
+#: An entry as stored, with what decides between two entries of one run.
+LOG = T.StructType(
+    [
+        *REGISTRY.fields,
+        T.StructField("registered_micros", T.LongType()),
+        T.StructField("entry_id", T.StringType()),
+    ]
+)
 LINEAGE = T.StructType(
     [
         T.StructField("model_name", T.StringType()),
@@ -33,7 +47,7 @@ RUN_KEY = ["object_kind", "run_id"]
 
 
 def ensure_registry(spark: SparkSession, table: str, location: str | None = None) -> None:
-    ensure_table(spark, table, REGISTRY, location=location)
+    ensure_table(spark, table, LOG, location=location)
 
 
 def new_entries(entries: DataFrame, existing: DataFrame) -> DataFrame:
@@ -43,7 +57,21 @@ def new_entries(entries: DataFrame, existing: DataFrame) -> DataFrame:
 
 
 def register(entries: DataFrame, table: str) -> None:
-    append(new_entries(entries, entries.sparkSession.table(table)), table)
+    """Add the runs that the registry does not hold; safe with other writers at work."""
+    fresh = new_entries(entries, entries.sparkSession.table(table))
+    stamps = {"registered_micros": F.unix_micros(F.current_timestamp()), "entry_id": F.uuid()}
+    append(fresh.withColumns(stamps), table)
+
+
+def registered(spark: SparkSession, table: str) -> DataFrame:
+    """One entry per run: the first by time of registration, then by entry id.
+
+    Entries without a run id count as one run of their kind.
+    """
+    others = [c for c in REGISTRY.names if c not in RUN_KEY]
+    first = F.min_by(F.struct(*others), F.struct("registered_micros", "entry_id"))
+    runs = spark.table(table).groupBy(*RUN_KEY).agg(first.alias("e"))
+    return runs.select(*RUN_KEY, "e.*").select(*REGISTRY.names)
 
 
 def registry_entry(
@@ -95,11 +123,27 @@ def save_ml(
 
 
 def load_model(spark: SparkSession, table: str, kind: str = "spark_model") -> PipelineModel:
-    return PipelineModel.load(latest_location(spark.table(table), kind))
+    return PipelineModel.load(latest_location(registered(spark, table), kind))
+
+
+def newest_model(
+    spark: SparkSession, table: str, kind: str = "spark_model"
+) -> Callable[[], PipelineModel]:
+    """A function that gives the newest registered model, loaded again only when it changes."""
+    held: dict[str, PipelineModel] = {}
+
+    def model() -> PipelineModel:
+        location = latest_location(registered(spark, table), kind)
+        if location not in held:
+            held.clear()
+            held[location] = PipelineModel.load(location)
+        return held[location]
+
+    return model
 
 
 def load_pipeline(spark: SparkSession, table: str, kind: str = "spark_pipeline") -> Pipeline:
-    return Pipeline.load(latest_location(spark.table(table), kind))
+    return Pipeline.load(latest_location(registered(spark, table), kind))
 
 
 def record_lineage(

@@ -1,7 +1,8 @@
-"""Catalog tables: creation, appends by column name, snapshots."""
+"""Catalog tables: creation, appends by column name, micro-batches, snapshots."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -81,12 +82,22 @@ def ensure_table(
     spark.sql(ddl)
 
 
-def append(df: DataFrame, table: str) -> None:
-    """Append by column name; columns the frame lacks become null.
+#: Where a row of a stream's table came from; its partitions.
+ORIGIN = ["stream", "epoch"]
 
-    A column that the table does not have is an error, not a loss.
-    """
-    target = df.sparkSession.table(table).schema
+
+def ensure_stream_table(
+    spark: SparkSession, name: str, schema: T.StructType, location: str | None = None
+) -> None:
+    """A table that streams write to, with a partition for each micro-batch of each stream."""
+    origin = [T.StructField("stream", T.StringType()), T.StructField("epoch", T.LongType())]
+    columns = T.StructType([*schema.fields, *origin])
+    ensure_table(spark, name, columns, partition_by=ORIGIN, location=location)
+
+
+def _aligned(df: DataFrame, table: str, leave_out: Sequence[str] = ()) -> DataFrame:
+    """``df`` with the table's columns, in its order and types, but for ``leave_out``."""
+    target = df.sparkSession.table(table).drop(*leave_out).schema
     present = {c.lower() for c in df.columns}
     if unknown := present - {f.name.lower() for f in target.fields}:
         raise ValueError(f"{table} has no column {', '.join(sorted(unknown))}")
@@ -94,7 +105,15 @@ def append(df: DataFrame, table: str) -> None:
     def value(name: str) -> Column:
         return F.col(name) if name.lower() in present else F.lit(None)
 
-    aligned = df.select(*[value(f.name).cast(f.dataType).alias(f.name) for f in target.fields])
+    return df.select(*[value(f.name).cast(f.dataType).alias(f.name) for f in target.fields])
+
+
+def append(df: DataFrame, table: str) -> None:
+    """Append by column name; columns the frame lacks become null.
+
+    A column that the table does not have is an error, not a loss.
+    """
+    aligned = _aligned(df, table)
     partitions = [c.name for c in df.sparkSession.catalog.listColumns(table) if c.isPartition]
     writer = aligned.write.mode("append").format("parquet")
     if partitions:
@@ -102,6 +121,21 @@ def append(df: DataFrame, table: str) -> None:
     writer.saveAsTable(table)
 
 
+def replace_epoch(df: DataFrame, table: str, stream: str, epoch: int) -> None:
+    """Make ``df`` all that the table holds of one micro-batch of ``stream``.
+
+    What an earlier attempt at the micro-batch left is replaced, also by no rows;
+    other micro-batches and streams are not touched. Columns are as in ``append``.
+    """
+    if not re.fullmatch(r"[\w.-]+", stream):
+        raise ValueError(f"not a name for a stream: {stream!r}")
+    df.sparkSession.sql(
+        f"INSERT OVERWRITE TABLE {table} PARTITION (stream = '{stream}', epoch = {int(epoch)})"
+        " SELECT * FROM {rows}",
+        rows=_aligned(df, table, ORIGIN),
+    )
+
+
 def write_if_absent(df: DataFrame, table: str, location: str | None = None) -> None:
     """Save a snapshot; a table that exists already is left as it is."""
     writer = df.write.mode("ignore").format("parquet")

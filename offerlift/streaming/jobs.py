@@ -2,8 +2,8 @@
 
 Every job reads what is available and stops (``availableNow``), so a scheduler
 can run it as often as it likes; state and progress live in ``state``. Jobs
-that write from ``foreachBatch`` own one folder per micro-batch and overwrite
-it, which makes a replayed batch harmless.
+that write from ``foreachBatch`` replace a micro-batch's own partition of their
+table, or its own folder, which makes a replayed batch harmless.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from offerlift.functions.timestamps import epoch_micros, from_epoch_micros
 from offerlift.operators.monitoring import block_parts, full_blocks
 from offerlift.operators.ordering import with_row_index
 from offerlift.operators.projection import ingest_batch
+from offerlift.sources.tables import replace_epoch
 
 
 def _each_batch(stream: DataFrame, state: str, handle: Callable[[DataFrame, int], None]) -> None:
@@ -57,41 +58,44 @@ def _write_batch(batch: DataFrame, path: str, epoch: int) -> None:
 
 def ingest(
     stream: DataFrame,
-    path: str,
+    table: str,
     state: str,
-    batch_prefix: str,
+    name: str,
     batch_tms: Column | None = None,
     prepare: Callable[[DataFrame], DataFrame] = lambda batch: batch,
 ) -> None:
-    """Arriving interactions, outcome unknown, one batch id per micro-batch.
+    """Arriving interactions, outcome unknown, into a table made by ``ensure_stream_table``.
 
-    ``prepare`` makes interactions of a micro-batch, so that what it joins can be
+    Each micro-batch has a batch id of its own, the stream's ``name`` and a number.
+    Streams that share a table need different names. ``prepare`` makes interactions of a micro-batch, so that what it joins can be
     restricted to the batch's keys.
     """
 
     def handle(batch: DataFrame, epoch: int) -> None:
-        batch = prepare(batch)
-        _write_batch(ingest_batch(batch, F.lit(f"{batch_prefix}-{epoch}"), batch_tms), path, epoch)
+        rows = ingest_batch(prepare(batch), F.lit(f"{name}-{epoch}"), batch_tms)
+        replace_epoch(rows, table, name, epoch)
 
     _each_batch(stream, state, handle)
 
 
 def score(
     stream: DataFrame,
-    path: str,
+    table: str,
     state: str,
+    name: str,
     model: Callable[[], PipelineModel],
     select: Callable[[DataFrame], DataFrame],
     prepare: Callable[[DataFrame], DataFrame] = lambda batch: batch,
 ) -> None:
-    """Predictions for arriving interactions.
+    """Predictions for arriving interactions, into a table as in ``ingest``.
 
-    ``model`` is asked once per micro-batch, so a retrained model takes over
-    without a restart. ``prepare`` is as in ``ingest``.
+    ``model``, such as ``registry.newest_model``, is asked once per micro-batch, so
+    a retrained model takes over without a restart. ``name`` and ``prepare`` are as
+    in ``ingest``.
     """
 
     def handle(batch: DataFrame, epoch: int) -> None:
-        _write_batch(select(model().transform(prepare(batch))), path, epoch)
+        replace_epoch(select(model().transform(prepare(batch))), table, name, epoch)
 
     _each_batch(stream, state, handle)
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
+import pytest
 from pyspark.sql import functions as F
 
 from offerlift.operators import projection
 from offerlift.operators.monitoring import attach_labels, block_accuracy
 from offerlift.plans import training
-from offerlift.sources import retail
+from offerlift.sources import retail, tables
 from offerlift.sources.workspace import new_path
 from offerlift.streaming import jobs
 
@@ -36,6 +39,12 @@ def labelled(events):
     return retail.prediction_rows(events, outcome).select(*KEYS)
 
 
+def stream_table(spark, schema):
+    name = f"stream_{uuid.uuid4().hex}"
+    tables.ensure_stream_table(spark, name, schema, new_path(spark, "stream"))
+    return name
+
+
 def rows(df):
     return sorted(tuple(r) for r in df.select(*sorted(df.columns)).collect())
 
@@ -115,13 +124,50 @@ def test_windows_wait_for_the_watermark_and_drop_late_rows(spark):
 def test_ingest_marks_each_micro_batch(spark, sf_dir):
     path, out = events_in_order(spark, sf_dir, 2), new_path(spark, "ingest")
     source = stream(spark, path).select("event_id", F.lit(1).alias("conversion"))
-    jobs.ingest(source, f"{out}/rows", f"{out}/state", "b")
-    stored = spark.read.parquet(f"{out}/rows")
+    table = stream_table(spark, projection.ingest_batch(source, F.lit("")).schema)
+    jobs.ingest(source, table, f"{out}/state", "b")
+    stored = spark.table(table)
     assert {r[0] for r in stored.select("batch_id").distinct().collect()} == {"b-0", "b-1"}
     assert stored.where("conversion is not null").count() == 0
     assert stored.count() == retail.read(spark, sf_dir, "events").count()
 
 
+def test_a_replayed_epoch_replaces_its_rows(spark, sf_dir, monkeypatch):
+    path, state = events_in_order(spark, sf_dir, 3), new_path(spark, "state")
+    source = stream(spark, path).select("event_id", F.lit(1).alias("conversion"))
+    table = stream_table(spark, projection.ingest_batch(source, F.lit("")).schema)
+    write, epochs = jobs.replace_epoch, []
+
+    def fails_once(df, name, origin, epoch):
+        write(df, name, origin, epoch)
+        epochs.append(epoch)
+        if epochs == [0, 1]:
+            raise RuntimeError("lost after the write, before the commit")
+
+    monkeypatch.setattr(jobs, "replace_epoch", fails_once)
+    with pytest.raises(Exception, match="lost after the write"):
+        jobs.ingest(source, table, state, "b")
+    jobs.ingest(source, table, state, "b")
+    assert epochs == [0, 1, 1, 2]
+    stored = spark.table(table)
+    events = retail.read(spark, sf_dir, "events").count()
+    assert stored.count() == stored.select("event_id").distinct().count() == events
+
+
+def test_streams_share_a_table_and_an_epoch_can_become_empty(spark):
+    table = stream_table(spark, spark.range(1).schema)
+    tables.replace_epoch(spark.range(3), table, "a", 0)
+    tables.replace_epoch(spark.range(5), table, "b", 0)
+    tables.replace_epoch(spark.range(7), table, "a", 1)
+    assert spark.table(table).count() == 15
+    tables.replace_epoch(spark.range(0), table, "a", 1)
+    assert rows(spark.table(table).groupBy("stream", "epoch").count()) == [(3, 0, "a"), (5, 0, "b")]
+    with pytest.raises(ValueError, match="a name"):
+        tables.replace_epoch(spark.range(1), table, "a'b", 0)
+    with pytest.raises(ValueError, match="no column"):
+        tables.replace_epoch(spark.range(1).withColumnRenamed("id", "di"), table, "a", 0)
+
+
 def test_scores_equal_the_batch_and_the_model_is_asked_per_batch(spark, sf_dir):
     columns = ["interaction_id", *retail.FEATURES, "conversion"]
     rows = projection.as_label(retail.interactions(spark, sf_dir, columns))
@@ -145,8 +191,9 @@ def test_scores_equal_the_batch_and_the_model_is_asked_per_batch(spark, sf_dir):
     def select(df):
         return df.select("interaction_id", "label", "prediction")
 
-    jobs.score(projection.as_label(arriving), f"{out}/rows", f"{out}/state", latest, select)
-    stored = spark.read.parquet(f"{out}/rows").drop("epoch")
+    table = stream_table(spark, select(model.transform(rows)).schema)
+    jobs.score(projection.as_label(arriving), table, f"{out}/state", "s", latest, select)
+    stored = spark.table(table).drop("stream", "epoch")
     ours = sorted(map(str, stored.collect()))
     assert ours == sorted(map(str, select(model.transform(rows)).collect()))
     assert len(asked) == 2

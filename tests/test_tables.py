@@ -101,6 +101,32 @@ def test_registry_ignores_a_run_it_holds(spark, table):
         registry.latest_location(spark.table(name), "sklearn_model")
 
 
+def test_two_writers_of_a_run_leave_one_entry(spark, table, monkeypatch):
+    name, location = table
+    registry.ensure_registry(spark, name, location)
+    mine, theirs = (
+        registry.registry_entry(spark, "spark_model", "A_b", NOW, where, "run-1")
+        for where in ("store/mine", "store/theirs")
+    )
+    write = registry.append
+
+    def other_writer_first(entries, target):
+        monkeypatch.setattr(registry, "append", write)
+        checked = spark.createDataFrame(entries.collect(), entries.schema)
+        registry.register(theirs, name)  # after the check for the run, before the write
+        write(checked, target)
+
+    monkeypatch.setattr(registry, "append", other_writer_first)
+    registry.register(mine, name)
+    assert spark.table(name).count() == 2
+    seen = registry.registered(spark, name).collect()
+    assert len(seen) == 1 and seen[0].asDict().keys() == set(registry.REGISTRY.names)
+    first = spark.table(name).orderBy("registered_micros", "entry_id").first()
+    assert seen[0]["location"] == first["location"]
+    registry.register(mine, name)
+    assert spark.table(name).count() == 2
+
+
 def test_lineage(spark, table):
     name, location = table
     tables.ensure_table(spark, name, registry.LINEAGE, location=location)
