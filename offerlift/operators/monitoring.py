@@ -24,6 +24,8 @@ METRICS = {
     "final_label": T.IntegerType(),
     "accuracy": T.DoubleType(),
 }
+#: Columns that metrics of unknown names may become.
+MOST_COLUMNS = 1000
 
 
 def threshold_label(df: DataFrame, probability: str, threshold: float = 0.5) -> DataFrame:
@@ -116,16 +118,43 @@ def accuracy_drift(blocks: DataFrame, group_by: Sequence[str] = ()) -> DataFrame
     )
 
 
-def flatten_metrics(records: DataFrame, separator: str = "_") -> DataFrame:
+def _parsed(records: DataFrame) -> DataFrame:
+    return records.withColumn("metrics", F.from_json("metrics", "map<string,string>"))
+
+
+def metric_values(records: DataFrame) -> DataFrame:
+    """Nested metric records to one row per record and metric, whatever the metrics are.
+
+    ``value`` is the text of the metric, ``number`` the same as a double, null for
+    what is no number. Records without metrics, null or broken ones give no row.
+    This is the shape to store where metric names are open.
+    """
+    keep = [c for c in records.columns if c != "metrics"]
+    rows = _parsed(records).select(*keep, F.explode("metrics").alias("metric", "value"))
+    return rows.withColumn("number", F.col("value").try_cast("double"))
+
+
+def flatten_metrics(
+    records: DataFrame,
+    separator: str = "_",
+    names: Sequence[str] | None = None,
+    most: int = MOST_COLUMNS,
+) -> DataFrame:
     """Nested metric records to one column per metric, ``metrics_<name>``.
 
-    The known metrics always have a column; any other that occurs in the records
-    gets one too, as a double. Their names are gathered first, one row each.
+    The known metrics always have a column, then ``names``, as doubles. Without
+    ``names`` every other metric of the records gets one; more than ``most`` such
+    metrics are refused, since each is a column and its name comes to the driver.
+    ``metric_values`` has no such bound.
     """
-    parsed = records.withColumn("metrics", F.from_json("metrics", "map<string,string>"))
-    names = parsed.select(F.explode(F.map_keys("metrics")).alias("name"))
-    names = names.where(~F.col("name").isin(*METRICS)).agg(F.collect_set("name").alias("names"))
-    others = sorted(names.first()["names"])
+    parsed = _parsed(records)
+    if names is None:
+        found = parsed.select(F.explode(F.map_keys("metrics")).alias("name"))
+        found = found.where(~F.col("name").isin(*METRICS)).distinct().limit(most + 1)
+        names = found.agg(F.collect_set("name").alias("names")).first()["names"]
+        if len(names) > most:
+            raise ValueError(f"over {most} metrics; name the ones wanted or use metric_values")
+    others = sorted(set(names) - METRICS.keys())
     kinds = METRICS | {name: T.DoubleType() for name in others}
     keep = [c for c in records.columns if c != "metrics"]
     return parsed.select(

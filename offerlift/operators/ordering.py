@@ -9,8 +9,11 @@ where a row landed.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from itertools import accumulate
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -53,8 +56,32 @@ def latest_n(
     return df.orderBy(F.desc_nulls_last(time_col), key).limit(n)
 
 
-def _place(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
+def _added_up(column: pa.Array, start) -> pa.Array:
+    if pa.types.is_decimal(column.type):  # Arrow has no running sum of these
+        return pa.array(list(accumulate(column.to_pylist(), initial=start))[1:], column.type)
+    return pc.add_checked(pc.cumulative_sum_checked(column), pa.scalar(start, column.type))
+
+
+def _place(
+    df: DataFrame, order: Sequence[Column | str], running: Sequence[str] = ()
+) -> DataFrame:
+    """Rows in order, with a position; ``running`` columns become sums inside a partition."""
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = dict.fromkeys(running, 0)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            for name in running:
+                at = batch.schema.get_field_index(name)
+                column = _added_up(batch.column(at), sums[name])
+                batch = batch.set_column(at, batch.schema.field(at), column)
+                sums[name] = column[-1].as_py()
+            yield batch
+
     placed = df.orderBy(*order).withColumn(_POSITION, F.monotonically_increasing_id())
+    if running:
+        placed = placed.mapInArrow(add_up, placed.schema)
     return materialize(placed).withColumn(_PART, F.shiftright(_POSITION, _PART_SHIFT))
 
 
@@ -92,15 +119,21 @@ def with_running_totals(
 ) -> DataFrame:
     """Running sums, current row included; ``totals`` maps new name to column.
 
-    Each running sum ``x`` comes with the sum over all rows, ``x_total``.
+    Each running sum ``x`` comes with the sum over all rows, ``x_total``. A null
+    adds nothing. The tasks that hold the sorted rows sum inside their partition
+    before the rows are written, so nothing is shuffled after the sort but one row
+    per partition.
     """
-    placed = _place(df, order_by)
-    local = Window.partitionBy(_PART).orderBy(_POSITION)
-    local = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    kinds = df.agg(*[F.sum(c).alias(name) for name, c in totals.items()]).schema
+    inside = {
+        f"__l_{name}": F.coalesce(F.col(c), F.lit(0)).cast(kinds[name].dataType)
+        for name, c in totals.items()
+    }
+    placed = _place(df.withColumns(inside), order_by, list(inside))
     before = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
     everything = before.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     pieces = placed.groupBy(F.col(_PART).alias("__p")).agg(
-        *[F.sum(c).alias(f"__s_{name}") for name, c in totals.items()]
+        *[F.max_by(f"__l_{name}", _POSITION).alias(f"__s_{name}") for name in totals]
     )
     # One row per partition of the sort, hence the single-task window and the broadcast.
     pieces = pieces.select(
@@ -111,10 +144,7 @@ def with_running_totals(
         ],
         *[F.sum(f"__s_{name}").over(everything).alias(f"{name}_total") for name in totals],
     )
-    running = placed.withColumns(
-        {f"__l_{name}": F.sum(c).over(local) for name, c in totals.items()}
-    )
-    joined = running.join(F.broadcast(pieces), F.col(_PART) == F.col("__p"))
+    joined = placed.join(F.broadcast(pieces), F.col(_PART) == F.col("__p"))
     return joined.select(
         *df.columns,
         *[(F.col(f"__b_{name}") + F.col(f"__l_{name}")).alias(name) for name in totals],

@@ -363,6 +363,15 @@ ORACLES = {
         " qualify rank() over (order by created_at desc) = 1"
     ),
     "metrics_flatten": over_events("select * from flat"),
+    "metrics_long": over_events(
+        "select uuid, replace(name, 'metrics_', '') as metric, round(number, 6) as number from ("
+        "select uuid, cast(metrics_prediction as double) as metrics_prediction,"
+        " cast(metrics_conversion_probability as double) as metrics_conversion_probability,"
+        " cast(metrics_final_label as double) as metrics_final_label,"
+        " cast(metrics_accuracy as double) as metrics_accuracy from flat"
+        ") unpivot (number for name in (metrics_prediction, metrics_conversion_probability,"
+        " metrics_final_label, metrics_accuracy))"
+    ),
     "metrics_snapshot": over_events("select * from flat"),
     "lineage_edges": """
       select 'classifier ' || strftime(ts, '%d%m%Y%H%M%S') as model_name,

@@ -190,6 +190,12 @@ def metrics_flatten(spark, sf_dir):
     return monitoring.flatten_metrics(retail.metric_events(spark, sf_dir))
 
 
+@query
+def metrics_long(spark, sf_dir):
+    rows = monitoring.metric_values(retail.metric_events(spark, sf_dir))
+    return rows.select("uuid", "metric", F.round("number", 6).alias("number"))
+
+
 @query
 def metrics_snapshot(spark, sf_dir):
     location = new_path(spark, "metrics")

@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from offerlift.functions.paths import path_part
 from offerlift.functions.timestamps import parse_suffix
 
 
@@ -35,19 +32,20 @@ def restamp_csv(spark: SparkSession, path: str, out: str, stamp) -> None:
 
 
 def list_artifacts(spark: SparkSession, root: str) -> DataFrame:
-    """Names of the artifact folders under ``root``; file contents are not read."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(root)
-        .select("path")
-    )
-    # Paths come back with a scheme ("file:/…") that ``root`` may lack or spell otherwise.
-    scheme = "^[a-zA-Z0-9]+:/+"
-    prefix = re.sub(scheme, "/", root).rstrip("/") + "/"
-    below = F.regexp_replace("path", scheme, "/")
-    inside = F.substring(below, F.lit(len(prefix) + 1), F.length(below))
-    return files.select(path_part(inside, 1).alias("artifact")).distinct()
+    """Names of what lies right below ``root``; the folders themselves are not opened.
+
+    One listing of one level, however many files the artifacts have. As in Spark's
+    own listings, names that start with a dot or, without ``=``, an underscore are
+    hidden. What comes to the driver is one name per artifact.
+    """
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(root)
+    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    names = [path.getName() for path in jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(found)]
+    shown = [
+        (n,) for n in names if not (n.startswith(".") or (n.startswith("_") and "=" not in n))
+    ]
+    return spark.createDataFrame(shown, "artifact string")
 
 
 def latest_artifact(artifacts: DataFrame, kind: str, name: str = "artifact") -> DataFrame:

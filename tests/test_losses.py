@@ -15,6 +15,23 @@ def test_unknown_metrics_get_a_column(spark):
     assert got["b"]["metrics_prediction"] == 1 and got["a"]["metrics_accuracy"] == 0.5
 
 
+def test_open_metric_names_stay_rows_and_only_named_ones_become_columns(spark):
+    body = "concat('{\"accuracy\": 0.5, \"m', id, '\": \"', id, '\", \"host\": \"h\"}')"
+    df = spark.range(100_000).selectExpr("cast(id as string) as uuid", f"{body} as metrics")
+    df = df.unionByName(spark.createDataFrame([("n", None), ("b", "{"), ("e", "{}")], "uuid string, metrics string"))
+    long = monitoring.metric_values(df)
+    assert long.select("metric").distinct().count() == 100_002
+    row = long.where("metric = 'm77'").first()
+    assert (row["uuid"], row["value"], row["number"]) == ("77", "77", 77.0)
+    assert long.where("metric = 'host' and number is null").count() == 100_000
+    assert long.where("uuid in ('n', 'b', 'e')").count() == 0
+    with pytest.raises(ValueError, match="over 1000 metrics"):
+        monitoring.flatten_metrics(df)
+    wide = monitoring.flatten_metrics(df, names=["m77", "accuracy"])
+    assert wide.columns[-1] == "metrics_m77" and wide.count() == 100_003
+    assert wide.where("metrics_m77 is not null").count() == 1
+
+
 @pytest.mark.parametrize("row", [(None, 1, "x"), (9, None, "x"), (9, 1, None)])
 def test_neighbours_refuse_nulls(spark, row):
     rows = [(i, i, "x") for i in range(5)] + [row]

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from decimal import Decimal
+
 import datetime as dt
 
 import pytest
@@ -49,6 +51,27 @@ def test_running_totals(spark):
     assert {r["run_total"] for r in rows} == {total}
 
 
+def test_running_totals_of_other_types_nulls_and_no_rows(spark):
+    rows = [(i, i if i % 3 else None, i / 4, Decimal(i) / 8) for i in range(400)]
+    df = spark.createDataFrame(rows, "id int, n int, x double, d decimal(12, 3)").repartition(7)
+    totals = {"run_n": "n", "run_x": "x", "run_d": "d"}
+    got = sorted(with_running_totals(df, ["id"], totals).collect())
+    n = x = d = 0
+    for r, (i, a, b, c) in zip(got, rows, strict=True):
+        n, x, d = n + (a or 0), x + b, d + c
+        assert (r.id, r.n, r.run_n, r.run_x, r.run_d) == (i, a, n, x, d)
+    assert (got[0].run_n_total, got[0].run_x_total, got[0].run_d_total) == (n, x, d)
+    assert with_running_totals(df.where("id < 0"), ["id"], totals).count() == 0
+
+
+def test_running_totals_shuffle_one_row_per_partition(spark):
+    """Behind the written sort, rows meet neither a window nor an exchange of their own."""
+    df = with_running_totals(shuffled(spark, 1000), ["id"], {"run": "v"})
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    left = plan.split("BroadcastHashJoin")[1].split("BroadcastExchange")[0]
+    assert "FileScan parquet" in left and "Window" not in left and "Exchange" not in left
+
+
 def test_no_step_sorts_all_rows_in_one_task(spark):
     """Windows over everything see one row per partition only."""
     df = with_row_index(shuffled(spark, 1000), ["id"])

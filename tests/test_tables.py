@@ -142,8 +142,10 @@ def test_artifacts_are_listed_once_and_the_newest_is_found(spark):
     root = new_path(spark, "store")
     for name in ("pipeline_01022024000000", "bestModel_28032021005601", "pipeline_31012024235959"):
         spark.range(2).repartition(2).write.parquet(f"{root}/{name}/data")
+    spark.range(1).write.mode("append").parquet(f"{root}/_temporary")
     listed = files.list_artifacts(spark, root)
-    assert listed.count() == 3
+    assert listed.count() == 3  # folders, not the files in them
+    assert "FileScan" not in listed._jdf.queryExecution().executedPlan().toString()
     other = files.list_artifacts(spark, f"file://{root.removeprefix('file:')}/")
     assert other.exceptAll(listed).count() == 0 and other.count() == 3
     newest = files.latest_artifact(listed, "pipeline").collect()
