@@ -886,5 +886,6 @@ def stream_accuracy(spark, sf_dir):
 @query
 def stream_block_accuracy(spark, sf_dir):
     out = new_path(spark, "stream-blocks")
-    jobs.count_blocks(_labelled_stream(spark, sf_dir), f"{out}/rows", f"{out}/state", 100)
-    return jobs.counted_blocks(spark, f"{out}/rows", 100)
+    rows = _labelled_stream(spark, sf_dir)
+    jobs.count_blocks(rows, f"{out}/rows", f"{out}/state", 100, lateness="1 day")
+    return jobs.counted_blocks(spark, f"{out}/rows", 100, waiting=True)

@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from offerlift.functions.timestamps import epoch_micros, from_epoch_micros
 from offerlift.operators.monitoring import block_parts, full_blocks
@@ -161,32 +162,56 @@ def count_blocks(
     model_col: str = "model_id",
     time_col: str = "predicted_at",
     key: str = "uuid",
+    lateness: str | None = None,
 ) -> None:
-    """Responses counted into blocks of ``n`` per model, in order of arrival.
+    """Responses counted into blocks of ``n`` per model, in order of time.
+
+    A response waits until no response more than ``lateness`` (such as ``1 hour``)
+    younger than it has been seen still to come, that is until the newest time
+    seen, less ``lateness``, has passed it; those that wait are written aside with
+    each micro-batch. What arrives after its turn, or without a time, can have no
+    place in the order: it is kept under ``late`` and not counted. With no
+    ``lateness`` nothing waits and micro-batches follow each other as they arrive.
 
     A keyed state function would walk all responses of a model in one task.
     Instead each micro-batch is numbered in parallel, starting where the
     batches before it ended; what is kept between batches is one running count
-    per model, and a block that spans batches is stored in parts.
+    per model and what waits, and a block that spans batches is stored in parts.
     """
     spark = labelled.sparkSession
+    columns = [model_col, time_col, key, "final_label", "response_label"]
+    kinds = labelled.select(*columns).schema
 
-    def counted_before(epoch: int) -> DataFrame:
+    def kept(epoch: int, what: str, schema: T.StructType) -> DataFrame:
+        """What the micro-batch before left; nothing before the first."""
         if epoch == 0:
-            return spark.createDataFrame([], f"`{model_col}` {model_type}, responses bigint")
-        return spark.read.parquet(f"{path}/counts/epoch={epoch - 1}")
-
-    model_type = labelled.schema[model_col].dataType.simpleString()
+            return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).parquet(f"{path}/{what}/epoch={epoch - 1}")
+
+    time_schema = T.StructType([kinds[time_col]])
+
+    def in_turn(rows: DataFrame, epoch: int) -> tuple[DataFrame, DataFrame]:
+        """The responses whose turn has come, and up to when; the others are written aside."""
+        moment = F.col(time_col)
+        passed = kept(epoch, "passed", time_schema).first()
+        passed = F.lit(passed[0] if passed else None).cast(kinds[time_col].dataType)
+        late = moment.isNull() | F.coalesce(moment < passed, F.lit(False))
+        _write_batch(rows.where(late), f"{path}/late", epoch)
+        open_ = rows.where(~late).unionByName(kept(epoch, "waiting", kinds))
+        newest = open_.agg((F.max(moment) - F.expr(f"interval {lateness}")).alias(time_col))
+        bound = newest.select(F.greatest(F.col(time_col), passed).alias(time_col)).first()[0]
+        waits = moment >= F.lit(bound).cast(kinds[time_col].dataType)
+        waits = F.coalesce(waits, F.lit(True))
+        _write_batch(open_.where(waits), f"{path}/waiting", epoch)
+        return open_.where(~waits), spark.createDataFrame([(bound,)], time_schema)
+
+    counts_schema = T.StructType([kinds[model_col], T.StructField("responses", T.LongType())])
 
     def handle(batch: DataFrame, epoch: int) -> None:
-        rows = batch.select(model_col, time_col, key, "final_label", "response_label")
-        indexed = with_row_index(rows, [time_col, key], [model_col])
-        before = counted_before(epoch)
-        position = F.coalesce("responses", F.lit(0)) + F.col("row_index") - 1
-        placed = indexed.join(before, model_col, "left").withColumn(
-            "block", F.floor(position / n).cast("bigint")
-        )
-        parts = block_parts(placed, time_col, [model_col], "final_label", "response_label")
+        rows = batch.select(*columns)
+        ready, passed = (rows, None) if lateness is None else in_turn(rows, epoch)
+        before = kept(epoch, "counts", counts_schema)
+        parts = _parts_after(ready, before, n, model_col, time_col, key)
         _write_batch(parts, f"{path}/parts", epoch)
         written = spark.read.parquet(f"{path}/parts/epoch={epoch}")
         counts = (
@@ -196,12 +221,47 @@ def count_blocks(
             .agg(F.sum("responses").alias("responses"))
         )
         _write_batch(counts, f"{path}/counts", epoch)
+        if passed is not None:
+            _write_batch(passed, f"{path}/passed", epoch)
 
     _each_batch(labelled, state, handle)
 
 
+def _parts_after(
+    rows: DataFrame, before: DataFrame, n: int, model_col: str, time_col: str, key: str
+) -> DataFrame:
+    """Block parts of ``rows``, numbered on from each model's count in ``before``."""
+    indexed = with_row_index(rows, [time_col, key], [model_col])
+    before = before.select(F.col(model_col).alias("__model"), "responses")
+    position = F.coalesce("responses", F.lit(0)) + F.col("row_index") - 1
+    placed = indexed.join(before, F.col(model_col).eqNullSafe(F.col("__model")), "left")
+    placed = placed.withColumn("block", F.floor(position / n).cast("bigint"))
+    return block_parts(placed, time_col, [model_col], "final_label", "response_label")
+
+
 def counted_blocks(
-    spark: SparkSession, path: str, n: int, model_col: str = "model_id"
+    spark: SparkSession,
+    path: str,
+    n: int,
+    model_col: str = "model_id",
+    time_col: str = "predicted_at",
+    key: str = "uuid",
+    waiting: bool = False,
 ) -> DataFrame:
-    """The full blocks stored by ``count_blocks``."""
-    return full_blocks(spark.read.parquet(f"{path}/parts"), n, [model_col])
+    """The full blocks stored by ``count_blocks``.
+
+    With ``waiting``, as if the stream had ended: responses that still wait for
+    their turn are counted as well.
+    """
+    parts = spark.read.parquet(f"{path}/parts")
+    if waiting:
+        # One row for each epoch, written last: the newest one is whole.
+        last = spark.read.parquet(f"{path}/passed").agg(F.max("epoch")).first()[0]
+        parts = parts.where(F.col("epoch") <= last)
+        rows, before = (
+            spark.read.parquet(f"{path}/{what}/epoch={last}") for what in ("waiting", "counts")
+        )
+        parts = parts.drop("epoch").unionByName(
+            _parts_after(rows, before, n, model_col, time_col, key)
+        )
+    return full_blocks(parts, n, [model_col])

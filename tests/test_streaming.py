@@ -59,6 +59,48 @@ def test_blocks_that_span_micro_batches(spark, sf_dir):
     assert spark.read.parquet(f"{out}/rows/parts").select("epoch").distinct().count() == 4
 
 
+def test_blocks_follow_time_over_shuffled_files(spark, sf_dir):
+    path, out = new_path(spark, "events"), new_path(spark, "blocks")
+    events = retail.read(spark, sf_dir, "events").repartition(5, F.xxhash64("event_id"))
+    events.write.parquet(path)
+    source = labelled(stream(spark, path))
+    # Files that are shuffled over the whole time are late by all of it.
+    jobs.count_blocks(source, f"{out}/rows", f"{out}/state", 100, lateness="1000 days")
+    batch = block_accuracy(labelled(events), 100, "predicted_at", "uuid", ["model_id"])
+    assert jobs.counted_blocks(spark, f"{out}/rows", 100).count() == 0
+    assert rows(jobs.counted_blocks(spark, f"{out}/rows", 100, waiting=True)) == rows(batch)
+
+
+def test_responses_wait_for_their_turn_and_late_ones_are_kept(spark):
+    path, out = new_path(spark, "responses"), new_path(spark, "blocks")
+    schema = (
+        "uuid long, model_id string, predicted_at timestamp_ntz, final_label int, response_label int"
+    )
+
+    def arrive(*minutes):
+        data = [(m, None, f"2024-01-01 00:{m:02d}:00", 1, m % 2) for m in minutes if m is not None]
+        data += [(99, None, None, 1, 1) for m in minutes if m is None]
+        df = spark.createDataFrame(data, schema.replace("timestamp_ntz", "string"))
+        df = df.withColumn("predicted_at", F.col("predicted_at").cast("timestamp_ntz"))
+        df.coalesce(1).write.mode("append").parquet(path)
+        source = spark.readStream.schema(schema).parquet(path)
+        jobs.count_blocks(source, f"{out}/rows", f"{out}/state", 2, lateness="10 minutes")
+
+    def found(waiting):
+        blocks = jobs.counted_blocks(spark, f"{out}/rows", 2, waiting=waiting)
+        return [(r.block, r.started_at.minute, r.ended_at.minute) for r in blocks.orderBy("block").collect()]
+
+    arrive(5, 1, 9)
+    assert found(False) == [] and found(True) == [(0, 1, 5)]
+    arrive(3, 20, None)  # 10 has passed: 1, 3, 5 and 9 have had their turn
+    assert found(False) == [(0, 1, 3), (1, 5, 9)]
+    arrive(4, 22, 11)  # 4 is late
+    assert found(False) == [(0, 1, 3), (1, 5, 9)]
+    assert found(True) == [(0, 1, 3), (1, 5, 9), (2, 11, 20)]
+    late = spark.read.parquet(f"{out}/rows/late")
+    assert sorted(r.uuid for r in late.collect()) == [4, 99]
+
+
 def test_a_later_run_goes_on_where_the_last_one_stopped(spark, sf_dir):
     path, out = events_in_order(spark, sf_dir, 2), new_path(spark, "blocks")
     for _ in range(2):
