@@ -753,14 +753,29 @@ def ml_save_load(spark, sf_dir):
 @query
 def retrain(spark, sf_dir):
     """Registry after a retraining, with the number of rows that the new model scored."""
-    rows = interactions(spark, sf_dir, [ID, *FEATURES, "conversion", "batch_tms"])
-    sample = projection.as_label(projection.select_features(rows, [ID, *FEATURES]))
+    columns = [ID, *FEATURES, "conversion", "batch_tms"]
+    sample = interactions(spark, sf_dir, columns)
+    sample = projection.as_label(projection.select_features(sample, [ID, *FEATURES]))
+    orders = retail.read(spark, sf_dir, "orders")
+    # The orders alone tell which interactions are the newest that have a label.
+    found = {
+        ID: F.col("o_orderkey"),
+        "batch_tms": F.col("o_orderdate"),
+        "conversion": F.when(F.col("o_orderstatus") != "P", 0),
+    }
+
+    def complete(newest: DataFrame) -> DataFrame:
+        return interactions(spark, sf_dir, columns, newest.select(orders.columns), few=True)
+
     unfitted = training.make_pipeline(sample, training.random_forest(), ID)
 
     def use(table: str, root: str) -> DataFrame:
         registry.save_ml(spark, unfitted, "spark_pipeline", root, table, "run-1", STAMP)
         later = STAMP + dt.timedelta(hours=1)
-        scoring.retrain(spark, rows, table, root, "run-2", n=20_000, now=later)
+        rows = orders.withColumns(found)
+        scoring.retrain(
+            spark, rows, table, root, "run-2", n=20_000, now=later, complete=complete
+        )
         model = registry.load_model(spark, table)
         scored = scoring.score_batch(_newest(spark, sf_dir, 1000), model)
         entries = registry.registered(spark, table)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -78,9 +79,14 @@ def retrain(
     key: str = "interaction_id",
     day_col: str | None = None,
     now: dt.datetime | None = None,
+    complete: Callable[[DataFrame], DataFrame] = lambda newest: newest,
 ) -> str:
-    """Fit the newest registered pipeline on the newest labelled rows and register the result."""
-    newest = latest_n(labelled(df, TARGET), n, time_col, key, day_col)
+    """Fit the newest registered pipeline on the newest labelled rows and register the result.
+
+    Where features are costly to derive, ``df`` need only tell the newest labelled
+    rows (time, key, target), and ``complete`` makes feature rows of the ``n`` found.
+    """
+    newest = complete(latest_n(labelled(df, TARGET), n, time_col, key, day_col))
     rows = materialize(as_label(select_features(newest)))  # fitting rereads them
     model = load_pipeline(spark, registry).fit(rows)
     return save_ml(spark, model, "spark_model", root, registry, run_id, now)

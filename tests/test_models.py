@@ -10,6 +10,7 @@ from offerlift.operators.evaluation import auc_score
 from offerlift.operators.features import encoder, indexer
 from offerlift.operators.projection import as_label
 from offerlift.operators.sampling import hash_split
+from offerlift.operators.ordering import latest_n
 from offerlift.plans import scoring, training
 from offerlift.sources import registry
 from offerlift.sources.retail import FEATURES, interactions, requests
@@ -149,12 +150,23 @@ def test_retrain_query_leaves_the_cut_to_the_operator(spark, sf_dir, monkeypatch
     class Stopped(Exception):
         pass
 
-    def stop(spark, df, *args, n, **kwargs):
-        raise Stopped(df, n)
+    def stop(spark, df, *args, n, complete, **kwargs):
+        raise Stopped(df, n, complete)
 
     monkeypatch.setattr(queries.scoring, "retrain", stop)
     with pytest.raises(Stopped) as stopped:
         queries.QUERIES["retrain"](spark, sf_dir)
-    df, n = stopped.value.args
+    df, n, complete = stopped.value.args
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").count()
     assert n == 20_000 and df.count() >= 0.9 * orders
+    # The rows are those of a cut over all interactions, and only their lines are aggregated.
+    newest = complete(latest_n(df.where("conversion is not null"), 300, "batch_tms", ID))
+    columns = [ID, *FEATURES, "conversion", "batch_tms"]
+    uncut = interactions(spark, sf_dir, columns).where("conversion is not null")
+    want = latest_n(uncut, 300, "batch_tms", ID)
+    assert newest.columns == columns and newest.exceptAll(want).count() == 0
+    assert newest.count() == want.count() == 300
+    steps = newest._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    lines = [i for i, row in enumerate(steps) if "l_orderkey" in row and "Aggregate" in row]
+    joins = [i for i, row in enumerate(steps) if "Join LeftSemi" in row]
+    assert lines and any(j > lines[0] for j in joins)
