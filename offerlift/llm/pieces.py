@@ -180,12 +180,14 @@ def encode(
 ) -> DataFrame:
     """``key, ids``: the piece ids of every whole text, without begin and end.
 
-    Columns named in ``keep`` come along.
+    Columns named in ``keep`` come along; none of them can be called ``ids``.
 
     A null or empty text has none. Repeated rows and null keys are kept, other
     columns are ignored, an empty table gives an empty one. Runs are encoded
     once per worker and kept in a cache of bounded size.
     """
+    if {c.lower() for c in keep} & {"ids", "__text"}:
+        raise ValueError("a column to keep has the name of a column that is made")
     small_batches(docs.sparkSession)
     ids = T.ArrayType(T.IntegerType(), False)
     rows = docs.select(key, *keep, text_or_empty(text).cast("binary").alias("__text"))
@@ -206,10 +208,14 @@ def encode(
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids", name: str = "decoded") -> DataFrame:
-    """``encoded`` with the text of its ids; null ids give null.
+    """``encoded`` with the text of its ids; null ids give null, no ids an empty text.
 
-    Bytes that are no UTF-8 become the replacement character.
+    Bytes that are no UTF-8 become the replacement character. A column ``name`` of
+    ``encoded`` is replaced; an empty table gives an empty one.
     """
+    if name == ids:
+        raise ValueError("the text needs another column than the ids")
+    encoded = encoded.drop(name)
     small_batches(encoded.sparkSession)
     schema = T.StructType([*encoded.schema, T.StructField(name, T.StringType())])
 

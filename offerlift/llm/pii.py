@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from offerlift.llm.texts import keeps_names
+
 ROUNDS = 8
 KEY = "offerlift"
 KINDS = ("card", "phone", "ip", "date", "ssn", "email")
@@ -200,6 +202,7 @@ def _found(text: str, key: str) -> str:
     return found
 
 
+@keeps_names
 def pseudonymise(
     docs: DataFrame, text: str = "text", key: str = KEY, counts: str | None = None
 ) -> DataFrame:

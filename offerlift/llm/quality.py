@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from offerlift.llm.texts import SPACE
+from offerlift.llm.texts import SPACE, keeps_names
 from offerlift.sources.workspace import materialize
 
 #: Rows that costs and shares are measured on.
@@ -141,10 +141,15 @@ def rejected_by(rules: Sequence[Rule]) -> Column:
     return F.expr(f"case{cases} end") if rules else F.lit(None).cast("string")
 
 
+@keeps_names
 def filter_quality(
     docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text", name: str = "rejected_by"
 ) -> DataFrame:
-    """``docs`` with the rule, first in the estimated order, that rejects each row, or null."""
+    """``docs`` with the rule, first in the estimated order, that rejects each row, or null.
+
+    A null text is judged as an empty one; repeated rows get equal verdicts, an
+    empty table gives an empty one. A column ``name`` of ``docs`` is replaced.
+    """
     order = [e.rule for e in estimate(docs, rules, text)]
     marked = docs.withColumn(_TEXT, F.coalesce(F.col(text), F.lit("")))
     return marked.withColumn(name, rejected_by(order)).drop(_TEXT)

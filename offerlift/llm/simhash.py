@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from offerlift.llm.components import components
 from offerlift.llm.sketch import mark_possible
-from offerlift.llm.texts import small_batches, text_or_empty, tidy
+from offerlift.llm.texts import keeps_names, small_batches, text_or_empty, tidy
 from offerlift.sources.workspace import materialize
 
 SHINGLE = 4
@@ -221,6 +221,7 @@ def near_duplicates(
     )
 
 
+@keeps_names
 def without_near_duplicates(
     docs: DataFrame,
     key: str = "doc_id",
@@ -231,7 +232,9 @@ def without_near_duplicates(
     """``docs`` with one row of each component, the one with the smallest key.
 
     Of repeated rows one stays. Rows without a key get one above all others
-    from their text. Only rows that may have to go are shuffled.
+    from their text. Keys are whole numbers. A null text counts as empty, all
+    texts without words are one component, an empty table gives an empty one.
+    Only rows that may have to go are shuffled.
     """
     spare = F.lit(1 << 62) + F.pmod(F.xxhash64(text), F.lit(1 << 61))
     keyed = docs.withColumn("__key", F.coalesce(F.col(key).cast("long"), spare))

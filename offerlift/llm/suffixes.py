@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from offerlift.llm.sketch import mark_possible
-from offerlift.llm.texts import small_batches, text_or_empty, tidy
+from offerlift.llm.texts import keeps_names, small_batches, text_or_empty, tidy
 from offerlift.sources.workspace import materialize
 
 #: Length of the strings that count as repeated.
@@ -515,6 +515,7 @@ def repeated_bytes(
     )
 
 
+@keeps_names
 def without_repeats(
     docs: DataFrame,
     key: str = "doc_id",

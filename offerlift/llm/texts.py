@@ -5,6 +5,8 @@ from __future__ import annotations
 import ctypes
 import functools
 import gc
+import inspect
+import uuid
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,6 +33,31 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(name, BATCH_ROWS)
 
 
+def keeps_names(function):
+    """For ``function(docs, …)`` that returns the columns of ``docs``: any may be called ``__x``.
+
+    Operators call columns of their own so. Such columns of ``docs`` bear other
+    names meanwhile; only the key and the text cannot be called so.
+    """
+    signature = inspect.signature(function)
+
+    @functools.wraps(function)
+    def run(docs: DataFrame, *args, **kwargs) -> DataFrame:
+        mark = uuid.uuid4().hex
+        aside = {c: f"c{i}_{mark}" for i, c in enumerate(docs.columns) if c.startswith("__")}
+        if not aside:
+            return function(docs, *args, **kwargs)
+        given = signature.bind(docs, *args, **kwargs)
+        given.apply_defaults()
+        for name in ("key", "text"):
+            if given.arguments.get(name) in aside:
+                raise ValueError(f"{name} column begins with two underscores")
+        made = function(docs.withColumnsRenamed(aside), *args, **kwargs)
+        return made.withColumnsRenamed({new: old for old, new in aside.items()})
+
+    return run
+
+
 def tidy(run):
     """``run`` over the batches of a task, with its memory given back at the end.
 
