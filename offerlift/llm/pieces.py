@@ -10,17 +10,23 @@ it ends with is the only one whose neighbours are all stable: joining the
 characters of two neighbours again gives these two. So a step to a piece that is
 not stable after the last piece of the prefix counts as impossible, and the pass
 finds the library's own result. Runs in which pieces of equal score occur are
-joined step by step, since there the order of joins matters.
+joined step by step, since there the order of joins matters, and so are those with
+a character that is no piece.
+
+No path crosses a place between two characters that no piece has side by side, so
+a run is cut there and each part's ids are found, and kept, by themselves.
 """
 
 from __future__ import annotations
 
 import heapq
+import struct
 from collections.abc import Iterator, Sequence
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -33,7 +39,9 @@ NORMAL, USER, BYTE = 1, 4, 6
 UNIGRAM, BPE = 1, 2
 SPACE = "▁"
 UNKNOWN_COST = 10.0
-_STABLE_PAIRS = 1_000_000
+#: Bounds of what a worker keeps: whether pairs are stable, and ids of parts of runs.
+_STABLE_PAIRS = 500_000
+_ATOMS = 200_000
 
 
 class Encoder(PieceTokenizer):
@@ -62,10 +70,18 @@ class Encoder(PieceTokenizer):
             seen[score] = seen.get(score, 0) + 1
         self.automaton = ahocorasick.Automaton()
         for piece, score in self.scores.items():
-            self.automaton.add_word(piece, (piece, score, seen[score] > 1))
+            tied = seen[score] > 1 and len(piece) > 1
+            self.automaton.add_word(piece, (self.ids[piece], len(piece), score, tied))
         self.automaton.make_automaton()
         self.unknown = min(self.scores.values()) - UNKNOWN_COST
-        self.stable: dict[tuple[str, str], bool] = {}
+        self.start = len(pieces)
+        self.sizes = [len(name) for name in self.names]
+        self.alphabet = {p for p in self.ids if len(p) == 1}
+        self.spanned = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
+        self.stable: dict[int, bool] = {}
+        self.atoms: dict[str, list[int]] = {}
+        self.older: dict[str, list[int]] = {}
+        self.table: pa.Array | None = None
 
     def joined(self, text: str) -> list[str]:
         """Characters of ``text``, the best-scored neighbours joined first, the leftmost of equals."""
@@ -94,61 +110,101 @@ class Encoder(PieceTokenizer):
                 offer(before[i])
         return [p for p in parts if p is not None]
 
-    def _is_stable(self, left: str, right: str) -> bool:
-        pair = (left, right)
-        known = self.stable.get(pair)
-        if known is None:
-            if len(self.stable) >= _STABLE_PAIRS:
-                self.stable.clear()
-            expected = [p for p in pair if p]
-            known = self.stable[pair] = self.joined(left + right) == expected
+    def _named(self, step: int) -> str:
+        """The text of a step: a piece, nothing at the start, or an unknown character."""
+        if step < self.start:
+            return self.names[step]
+        return chr(step - self.start - 1) if step > self.start else ""
+
+    def _steps(self, parts: list[str]) -> list[int]:
+        known = self.ids.get
+        steps = [known(p) for p in parts]
+        if None not in steps:
+            return steps
+        return [self.start + 1 + ord(p) if i is None else i for i, p in zip(steps, parts, strict=True)]
+
+    def _is_stable(self, left: int, right: int) -> bool:
+        if len(self.stable) >= _STABLE_PAIRS:
+            self.stable.clear()
+        pair = self._named(left), self._named(right)
+        known = self.joined(pair[0] + pair[1]) == [p for p in pair if p]
+        self.stable[left << 32 | right] = known
         return known
 
-    def split(self, run: str) -> list[str]:
-        """Pieces of ``run``; a character that is no piece stands alone."""
+    def _path(self, run: str) -> list[int]:
+        """Steps of the pass over ``run``: ids of pieces, and numbers above them for unknown characters."""
         n = len(run)
-        last: list[str | None] = [""] + [None] * n
+        last = [-1] * (n + 1)
+        last[0] = self.start
         if self.is_bpe:
-            done = 0
-            for end, (piece, _, tied) in self.automaton.iter(run):
-                if tied and len(piece) > 1:
-                    return self.joined(run)
-                while done < end:  # positions that no piece ends at
-                    done += 1
-                    if last[done] is None and last[done - 1] is not None:
-                        last[done] = run[done - 1]
-                start = end + 1 - len(piece)
-                if last[end + 1] is None and last[start] is not None:
-                    if self._is_stable(last[start], piece):
-                        last[end + 1] = piece
-            for i in range(1, n + 1):
-                if last[i] is None and last[i - 1] is not None:
-                    last[i] = run[i - 1]
+            if not self.alphabet.issuperset(run):
+                return self._steps(self.joined(run))
+            stable, is_stable = self.stable.get, self._is_stable
+            for end, (piece, size, _, tied) in self.automaton.iter(run):
+                if tied:
+                    return self._steps(self.joined(run))
+                end += 1
+                if last[end] < 0 and (left := last[end - size]) >= 0:
+                    fits = stable(left << 32 | piece)
+                    if is_stable(left, piece) if fits is None else fits:
+                        last[end] = piece
         else:
             best = [0.0] + [float("-inf")] * n
-            ends: list[list[tuple[str, float]]] = [[] for _ in range(n)]
-            for end, (piece, score, _) in self.automaton.iter(run):
-                ends[end].append((piece, score))
+            ends: list[list[tuple[int, int, float]]] = [[] for _ in range(n)]
+            for end, (piece, size, score, _) in self.automaton.iter(run):
+                ends[end].append((piece, size, score))
             for end, found in enumerate(ends):
-                for piece, score in [*found, (run[end], self.unknown)]:
-                    reached = best[end + 1 - len(piece)] + score
+                alone = (self.start + 1 + ord(run[end]), 1, self.unknown)
+                for piece, size, score in [*found, alone]:
+                    reached = best[end + 1 - size] + score
                     if reached > best[end + 1]:
                         best[end + 1], last[end + 1] = reached, piece
         out, at = [], n
         while at:
-            if last[at] is None:
-                return self.joined(run)
-            out.append(last[at])
-            at -= len(last[at])
+            step = last[at]
+            if step < 0:
+                return self._steps(self.joined(run))
+            out.append(step)
+            at -= self.sizes[step] if step < self.start else 1
         return out[::-1]
 
+    def _parts(self, run: str) -> list[str]:
+        """``run`` cut between all neighbours that no piece has side by side."""
+        pairs = enumerate(map(str.__add__, run, run[1:]), 1)
+        cuts = [i for i, pair in pairs if pair not in self.spanned]
+        if not cuts:
+            return [run]
+        return [run[i:j] for i, j in zip([0, *cuts], [*cuts, len(run)], strict=True)]
+
+    def split(self, run: str) -> list[str]:
+        """Pieces of ``run``; a character that is no piece stands alone."""
+        return [self._named(step) for part in self._parts(run) for step in self._path(part)]
+
+    def _ids_of(self, part: str) -> list[int]:
+        known = self.older.get(part)
+        if known is None:
+            known = self._path(part)
+            if max(known) >= self.start:
+                bytes_of = [
+                    [i] if i < self.start else [self.bytes[b] for b in self._named(i).encode()]
+                    for i in known
+                ]
+                known = [i for ids in bytes_of for i in ids]
+        if len(self.atoms) >= _ATOMS:
+            self.older, self.atoms = self.atoms, {}
+        self.atoms[part] = known
+        return known
+
     def encode(self, pretokens: list[bytes]) -> list[list[int]]:
-        made = []
+        made, kept = [], self.atoms.get
         for run in pretokens:
             ids: list[int] = []
-            for piece in self.split(run.decode("utf-8", "replace")):
-                known = self.ids.get(piece)
-                ids += [self.bytes[b] for b in piece.encode()] if known is None else [known]
+            for part in self._parts(SPACE + run.decode("utf-8", "replace")):
+                found = kept(part)
+                if found is None:
+                    found = self._ids_of(part)
+                    kept = self.atoms.get
+                ids += found
             made.append(ids)
         return made
 
@@ -157,6 +213,33 @@ class Encoder(PieceTokenizer):
         return text[1:] if text[:1] == b" " else text
 
 
+    def decode_all(self, lists: pa.Array) -> pa.Array:
+        """Texts of lists of ids, null for null."""
+        if self.table is None:
+            bare = [raw[1:] if raw[:1] == b" " else raw for raw in self.raw]
+            self.table = pa.array([*self.raw, *bare], pa.large_binary())
+        sizes = np.asarray(pc.fill_null(pc.list_value_length(lists), 0), np.int64)
+        ends = np.cumsum(sizes)
+        index = np.array(lists.flatten(), np.int64)
+        first = (ends - sizes)[sizes > 0]
+        if all(map(self.raw.__getitem__, index[first].tolist())):  # a text's first bytes are there
+            index[first] += len(self.raw)
+            joined = self.table.take(pa.array(index))
+            offsets = np.frombuffer(joined.buffers()[1], np.int64)[: len(index) + 1]
+            places = pa.py_buffer(offsets[np.concatenate([[0], ends])].tobytes())
+            buffers = [None, places, joined.buffers()[2]]
+            texts = pa.Array.from_buffers(pa.large_binary(), len(lists), buffers)
+            try:
+                texts = texts.cast(pa.large_string()).cast(pa.string())
+                return pc.if_else(pc.is_valid(lists), texts, pa.scalar(None, pa.string()))
+            except pa.ArrowInvalid:
+                pass  # bytes that are no UTF-8
+        texts = [
+            None if x is None else self.decode(x).decode("utf-8", "replace") for x in lists.to_pylist()
+        ]
+        return pa.array(texts, pa.string())
+
+
 _encoders: dict[str, Encoder] = {}
 
 
@@ -168,7 +251,7 @@ def encoder(path: str) -> Encoder:
 
 
 def _packed(ids: list[int]) -> bytes:
-    return np.array(ids, "<i4").tobytes()
+    return struct.pack(f"<{len(ids)}i", *ids)
 
 
 def encode(
@@ -220,13 +303,9 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", name: str = "decoded
     schema = T.StructType([*encoded.schema, T.StructField(name, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = encoder(path)
         for batch in batches:
-            at = batch.schema.get_field_index(ids)
-            texts = [
-                None if x is None else encoder(path).decode(x).decode("utf-8", "replace")
-                for x in batch.column(at).to_pylist()
-            ]
-            columns = [*batch.columns, pa.array(texts, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, name])
+            texts = made.decode_all(batch.column(batch.schema.get_field_index(ids)))
+            yield pa.RecordBatch.from_arrays([*batch.columns, texts], [*batch.schema.names, name])
 
     return encoded.mapInArrow(tidy(run), schema)

@@ -32,7 +32,7 @@ MAX_TOKENS = 2048
 #: Entries of the broadcast table, of one task's summary, and of a worker's cache.
 FREQUENT = 32_768
 SUMMARY = 8_192
-CACHED = 250_000
+CACHED = 500_000
 #: Pre-tokens that the library is given at once.
 ENCODED = 4_000
 
@@ -138,11 +138,16 @@ class PieceTokenizer:
             raise ValueError(f"{path}: its pieces may span spaces, or it normalises texts")
 
     def pretokens(self, text: bytes) -> list[bytes]:
-        return _UNIT.findall(_SPACE + text.replace(b" ", _SPACE)) if text else []
+        """Runs of ``text``, each without the space that it begins with."""
+        if not text:
+            return []
+        if text[:1] != b" " and b"  " not in text and _SPACE not in text:
+            return text.split(b" ")
+        return [run[3:] for run in _UNIT.findall(_SPACE + text.replace(b" ", _SPACE))]
 
     def encode(self, pretokens: list[bytes]) -> list[list[int]]:
         # The library puts the first space back, but not before nothing.
-        texts = [p[3:].replace(_SPACE, b" ").decode("utf-8", "replace") for p in pretokens]
+        texts = [p.replace(_SPACE, b" ").decode("utf-8", "replace") for p in pretokens]
         made = self.library.encode(texts, num_threads=1) if texts else []
         lone = [self.library.piece_to_id("▁")]
         return [ids if t else lone for ids, t in zip(made, texts, strict=True)]
@@ -160,21 +165,31 @@ def tokenizer(path: str) -> WordTokenizer | PieceTokenizer:
 
 
 class Cache(dict):
-    """Pre-token to ``form(ids)``, of bounded size, filled for many texts at once."""
+    """Pre-token to ``form(ids)``, of bounded size, filled for many texts at once.
+
+    It has two generations. When the younger one is full it becomes the older one,
+    and what is wanted again moves to the younger one, so that frequent pre-tokens
+    outlive the many rare ones.
+    """
 
     def __init__(self, tokens, form, size: int = CACHED, first_tier: dict | None = None):
         super().__init__()
         self.tokens, self.form, self.size = tokens, form, size
+        self.older: dict = {}
         self.first_tier = first_tier or {}
 
     def fill(self, texts: list[list[bytes]]) -> None:
         """Make every pre-token of ``texts`` present."""
         wanted = set().union(*texts) - self.first_tier.keys()
         missing = wanted - self.keys()
-        if len(self) + len(missing) > self.size:
+        if len(self) + len(missing) > self.size // 2:
+            self.older = dict(self)
             self.clear()
             missing = wanted
-        missing = list(missing)
+        again = missing & self.older.keys()
+        for pretoken in again:
+            self[pretoken] = self.older.pop(pretoken)
+        missing = list(missing - again)
         for at in range(0, len(missing), ENCODED):
             part = missing[at : at + ENCODED]
             self.update(zip(part, map(self.form, self.tokens.encode(part)), strict=True))

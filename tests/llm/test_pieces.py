@@ -54,3 +54,22 @@ def test_unigram_models_take_the_best_sum():
         assert "".join(made) == run
         total = sum(encoder.scores.get(p, encoder.unknown) for p in made)
         assert abs(total - brute_best(encoder, run)[0]) < 1e-9
+
+
+def test_texts_of_ids(spark):
+    encoder = pieces.encoder(PATH)
+    rows = [library("hello world, ñß"), None, [], library("  two  日本😀"), [1, *library("a b")]]
+    rows.append([encoder.bytes[255], encoder.bytes[128]])  # no UTF-8
+    for some in (rows, rows[:4], rows[:2]):
+        ids = spark.createDataFrame(list(enumerate(some)), "i int, ids array<int>")
+        made = {r.i: r.decoded for r in pieces.decode(ids, PATH).collect()}
+        for i, x in enumerate(some):
+            assert made[i] == (None if x is None else encoder.decode(x).decode("utf-8", "replace"))
+
+
+def test_no_piece_spans_a_cut():
+    encoder = pieces.encoder(PATH)
+    parts = encoder._parts("▁word.\nNext,日x")
+    assert "".join(parts) == "▁word.\nNext,日x" and len(parts) > 3
+    for left, right in zip(parts, parts[1:]):
+        assert not any(left[-1] + right[0] in piece for piece in encoder.ids)
