@@ -16,6 +16,7 @@ tells its pattern, sequence and offset.
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -33,7 +34,7 @@ END = (0).to_bytes(4, "little")
 
 
 def _packed(ids: list[int]) -> bytes:
-    return np.array(ids, "<u4").tobytes()
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def pieces(docs: DataFrame, path: str, key: str, text: str, capacity: int) -> DataFrame:
