@@ -170,3 +170,22 @@ def test_retrain_query_leaves_the_cut_to_the_operator(spark, sf_dir, monkeypatch
     lines = [i for i, row in enumerate(steps) if "l_orderkey" in row and "Aggregate" in row]
     joins = [i for i, row in enumerate(steps) if "Join LeftSemi" in row]
     assert lines and any(j > lines[0] for j in joins)
+
+
+def test_training_rows_fill_all_cores_in_bounded_partitions(spark, monkeypatch):
+    monkeypatch.setattr(training, "PARTITION_ROWS", 100)
+    frame = spark.range(3000).withColumnRenamed("id", ID)
+    rows = training.training_rows(frame, ID)
+    cores = spark.sparkContext.defaultParallelism
+    sizes = [n for n in rows.rdd.glom().map(len).collect() if n]
+    assert len(sizes) >= cores and max(sizes) < 200 and sum(sizes) == 3000
+
+
+def test_fewer_fits_at_a_time_for_more_rows(spark, split, monkeypatch):
+    made, search = [], training.CrossValidator
+    note = lambda **given: made.append(given["parallelism"]) or search(**given)
+    monkeypatch.setattr(training, "CrossValidator", note)
+    monkeypatch.setattr(training, "KEPT_ROWS", split[0].count())
+    grid = {"numTrees": [2], "maxDepth": [2, 3]}
+    _, found = training.cross_validate(split[0], training.random_forest(), grid, ID, folds=2)
+    assert made == [1] and len(found.avgMetrics) == 2
